@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star",)
+MODULES = ("star", "metrics", "text", "nested", "quality")
 
 
 def load():
