@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,13 +16,25 @@ def json_text(c: Column | str, path: str) -> Column:
     return F.get_json_object(_col(c), path)
 
 
-def explode_json(df: DataFrame, col: str, path: str, out: str, element: str | None = None) -> DataFrame:
+def explode_json(
+    df: DataFrame, col: str, path: str, out: str, element: str | None = None, strict: bool = True
+) -> DataFrame:
     """One row per element of the array at ``path``; no array or an empty one gives no row.
 
-    ``element`` is the DDL type of an element; without it every element is kept as JSON text.
+    ``element`` is the DDL type of an element; without it every element is kept as JSON text. A text
+    that is not JSON stops the job unless ``strict`` is off, because it would silently lose rows.
     """
-    items = F.from_json(F.get_json_object(F.col(col), path), f"array<{element or 'string'}>")
-    return df.withColumn(out, F.explode(items))
+    names = path.removeprefix("$").strip(".")
+    steps = names.split(".") if names else []
+    if not all(re.fullmatch(r"\w+", s) for s in steps):
+        raise ValueError(f"only plain field paths are supported: {path}")
+    schema = f"array<{element or 'string'}>"
+    for step in reversed(steps):
+        schema = f"struct<{step}:{schema}>"
+    parsed = F.from_json(F.col(col), schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    for step in steps:
+        parsed = parsed.getField(step)
+    return df.withColumn(out, F.explode(parsed))
 
 
 def nest_items(kind: str, value: str, columns: Mapping[str, Column | str]) -> Column:

@@ -1,25 +1,46 @@
-"""Parquet layers: each model is a folder that is written beside the old one and then switched to."""
+"""Parquet layers: each model is one folder, written beside the old one and then switched to."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sediment.sources.files import filesystem
+
+
+def layer_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}.parquet"
+
 
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(layer_path(root, name))
 
 
 def write_layer(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write one model and return it read back, so later stages start from the stored rows.
 
-    Spark commits the folder only when all tasks have finished; a model that reads its own previous
-    state must read it from another path.
+    The rows go to a new folder first; the old one is replaced only when all of them are written.
     """
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    writer = df.write.mode("overwrite")
+    spark, path = df.sparkSession, layer_path(root, name)
+    fresh = f"{path}.{uuid.uuid4().hex[:12]}.new"
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer.parquet(fresh)
+    _switch(spark, fresh, path)
+    return spark.read.parquet(path)
+
+
+def _switch(spark: SparkSession, fresh: str, path: str) -> None:
+    target, fs = filesystem(spark, path)
+    source, _ = filesystem(spark, fresh)
+    replaced, _ = filesystem(spark, f"{fresh}.old")
+    had_old = fs.exists(target)
+    if had_old and not fs.rename(target, replaced):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move the new rows to {path}")
+    if had_old:
+        fs.delete(replaced, True)

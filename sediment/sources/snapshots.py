@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from sediment.sources.files import exists, put_if_absent
+
 COMMIT_SCHEMA = (
     "version bigint, operation string, mode string, label string, content_hash string, "
     "rows bigint, files_added bigint, files_removed bigint, path string, schema string"
@@ -55,7 +57,7 @@ class SnapshotTable:
 
     def commit_log(self, full: bool = False) -> DataFrame:
         """The history as rows: version, operation, mode, rows, files added and removed."""
-        if _exists(self.spark, f"{self.path}/_commits"):
+        if exists(self.spark, f"{self.path}/_commits"):
             log = self.spark.read.schema(COMMIT_SCHEMA).option("pathGlobFilter", "*.json").json(
                 f"{self.path}/_commits"
             )
@@ -119,7 +121,7 @@ class SnapshotTable:
     def _commit(self, commit: Commit) -> None:
         folder = f"{self.path}/_commits"
         final = f"{folder}/{commit.version:020d}.json"
-        if not _put_if_absent(self.spark, final, json.dumps(asdict(commit)) + "\n"):
+        if not put_if_absent(self.spark, final, json.dumps(asdict(commit)) + "\n"):
             raise ConcurrentCommit(f"version {commit.version} of {self.path} was committed by another writer")
 
     # --- reading --------------------------------------------------------------------------------
@@ -180,39 +182,3 @@ class SnapshotTable:
 def _schema(commit: Commit) -> StructType:
     return StructType.fromJson(json.loads(commit.schema))
 
-
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _filesystem(spark, path)
-    return fs.exists(target)
-
-
-def _put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file completely or not at all; False when the name is already taken."""
-    jvm = spark.sparkContext._jvm
-    target, fs = _filesystem(spark, path)
-    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.part")
-    out = fs.create(part, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.NONE
-    try:
-        context.rename(fs.makeQualified(part), fs.makeQualified(target), options)
-        return True
-    except Exception as error:
-        fs.delete(part, False)
-        if "FileAlreadyExistsException" in str(error):
-            return False
-        raise
