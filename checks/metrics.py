@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.star import FACT_SQL
-from sediment.functions.measures import classify_gap, complete, ratio_decimal
+from sediment.functions.measures import classify_gap, complete, from_scaled, ratio_decimal, scaled
 from sediment.operators import metrics
 from sediment.plans import order_star
-from sediment.plans.order_star import MONEY, table
+from sediment.plans.order_star import table
 
 # Documents with their labels. "Density" is characters per word, "graded" needs a label row.
 LABELLED_SQL = """
@@ -66,8 +66,8 @@ from i group by l_returnflag
 def mean_vs_pooled_ratio(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_returnflag",
-        F.col("l_quantity").cast(MONEY).alias("num"),
-        F.col("l_extendedprice").cast(MONEY).alias("den"),
+        from_scaled(scaled("l_quantity")).alias("num"),
+        from_scaled(scaled("l_extendedprice")).alias("den"),
     )
     rated = lines.withColumns(
         {"idx": ratio_decimal("num", "den", 1000.0, 4), "ok": complete("num", "den", positive="den")}

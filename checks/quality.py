@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
+from sediment.functions.measures import from_scaled, scaled
 from sediment.operators import quality as q
-from sediment.plans import order_star
 from sediment.plans.order_star import table
 
 
@@ -20,7 +20,7 @@ def tables(spark, sf_dir):
     names = ("customer", "orders", "lineitem", "documents", "labels", "conversations")
     found = {n: table(spark, sf_dir, n) for n in names}
     gross = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(F.col("l_extendedprice").cast(order_star.MONEY)).alias("gross")
+        from_scaled(F.sum(scaled("l_extendedprice"))).alias("gross")
     )
     found["labelled"] = labelled(spark, sf_dir)
     found["priced"] = found["orders"].join(gross, "o_orderkey", "left")

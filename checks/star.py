@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from sediment.functions.measures import default, has
+from sediment.functions.measures import default, has, scaled
 from sediment.operators import metrics, star
 from sediment.plans import order_star
 from sediment.plans.order_star import table
@@ -150,9 +150,8 @@ from orders group by 1, 2
 def join_date(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     joined = star.join_date(orders, star.dim_date(orders, "o_orderdate"), "o_orderdate")
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return joined.groupBy("year", "quarter").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("cents")
+        F.count(F.lit(1)).alias("orders"), F.sum(scaled("o_totalprice")).alias("cents")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import and_, add
 
@@ -50,6 +51,20 @@ def half_up(x: Column, digits: int) -> Column:
     return F.floor(x * F.lit(unit) + F.lit(0.5)).cast("double") / F.lit(unit)
 
 
+def scaled(c: Column | str, digits: int = 2) -> Column:
+    """A double that holds at most ``digits`` decimals, as an exact integer of its smallest unit.
+
+    Sums of it do not depend on row order and stay on machine integers; an overflow stops the job.
+    """
+    return F.floor(_col(c) * F.lit(float(10**digits)) + F.lit(0.5)).cast("bigint")
+
+
+def from_scaled(c: Column | str, digits: int = 2, precision: int = 18) -> Column:
+    """The decimal that :func:`scaled` units stand for."""
+    unit = Decimal(1).scaleb(-digits)
+    return (_col(c).cast("decimal(19,0)") * F.lit(unit)).cast(f"decimal({precision},{digits})")
+
+
 def ratio_decimal(
     num: Column | str, den: Column | str, scale: float = 1.0, digits: int = 4, precision: int = 18
 ) -> Column:

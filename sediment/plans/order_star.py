@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.functions.keys import date_key, surrogate_key
-from sediment.functions.measures import complete, default, ratio_decimal
+from sediment.functions.measures import complete, default, from_scaled, ratio_decimal, scaled
 from sediment.functions.text import map_domain
 from sediment.operators.star import attach, build_mart, dim_date, dim_entity, dim_place
 
 STATUS = {"f": "FILLED", "o": "OPEN", "p": "PARTIAL"}
 UNKNOWN = "UNKNOWN"
-MONEY = "decimal(18,2)"
 
 
 @dataclass(frozen=True)
@@ -61,17 +60,18 @@ def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items at the order grain."""
-    price = F.col("l_extendedprice").cast(MONEY)
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    return (
+    """Line items at the order grain. Cents and hundredths are summed as integers, exact in any order."""
+    price, discount = scaled("l_extendedprice", 2), scaled("l_discount", 2)
+    sums = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.sum((price * discount).cast("decimal(18,4)")).alias("discounted"),
-            F.sum(price).alias("gross"),
-            F.count(F.lit(1)).alias("lines"),
-        )
+        .agg(F.sum(price * discount).alias("_discounted"), F.sum(price).alias("_gross"), F.count(F.lit(1)).alias("lines"))
+    )
+    return sums.select(
+        "o_orderkey",
+        from_scaled("_discounted", 4).alias("discounted"),
+        from_scaled("_gross", 2).alias("gross"),
+        "lines",
     )
 
 
@@ -89,7 +89,7 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build(spark: SparkSession, sf_dir: str) -> Star:
     """Dimensions and fact. The keys in the fact are computed from the row, without lookups."""
-    orders = staged_orders(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
     fact = fact_rows(spark, sf_dir).select(
         surrogate_key("o_orderkey").alias("order_sk"),
         surrogate_key("nation", "region").alias("place_sk"),
@@ -103,9 +103,9 @@ def build(spark: SparkSession, sf_dir: str) -> Star:
         "discount_pct",
     )
     return Star(
-        entity=dim_entity(table(spark, sf_dir, "orders"), "o_orderkey", "order_sk", ["o_orderpriority"]),
-        place=dim_place(orders, "place_sk", {"nation": "nation", "region": "region"}),
-        date=dim_date(orders, "order_date", "date_sk", "order_date"),
+        entity=dim_entity(orders, "o_orderkey", "order_sk", ["o_orderpriority"]),
+        place=dim_place(places(spark, sf_dir), "place_sk", {"nation": "nation", "region": "region"}),
+        date=dim_date(orders, "o_orderdate", "date_sk", "order_date"),
         fact=fact,
     )
 

@@ -47,7 +47,7 @@ def _leaves_open(line: Column, sep: str) -> Column:
     """True when the line, begun outside quotes, ends inside a quoted field."""
     s = _class(sep)
     f = _field(sep)
-    return line.rlike(f"^(?:(?:{f})?+{s})*+{_quoted(chr(92) + 'z')}")
+    return F.contains(line, F.lit('"')) & line.rlike(f"^(?:(?:{f})?+{s})*+{_quoted(chr(92) + 'z')}")
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -93,10 +93,16 @@ def _records_by_line(spark: SparkSession, paths, sep: str) -> DataFrame:
     return lines.select("_file", "_record", guarded.alias("_text"))
 
 
-def holds_line_breaks(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> bool:
-    """Whether any line leaves a quoted field open; one narrow pass with a one-row result."""
-    open_line = _leaves_open(F.col("_text"), sep)
-    return bool(read_lines(spark, paths).select("_text").agg(F.bool_or(open_line)).first()[0])
+def line_profile(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> tuple[bool, int]:
+    """Whether any line leaves a quoted field open, and the most fields on a line taken by itself.
+
+    One narrow pass with a one-row result. The width is that of the records when no line is left open.
+    """
+    line = F.regexp_replace("_text", LINE_END, "")
+    row = read_lines(spark, paths).select("_text").agg(
+        F.bool_or(_leaves_open(F.col("_text"), sep)), F.max(F.size(_split_fields(line, sep)))
+    ).first()
+    return bool(row[0]), row[1] or 0
 
 
 def _with_state(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -233,7 +239,12 @@ def _split_fields(record: Column, sep: str) -> Column:
             ),
         ).otherwise(f)
 
-    return F.when(record == "", F.expr("cast(array() as array<string>)")).otherwise(F.transform(raw, value))
+    quoted = F.contains(record, F.lit('"'))
+    return (
+        F.when(record == "", F.expr("cast(array() as array<string>)"))
+        .when(quoted, F.transform(raw, value))
+        .otherwise(F.split(record, s, -1))
+    )
 
 
 def read_records(
@@ -249,7 +260,7 @@ def read_records(
     that joins lines used. Text is UTF-8, with or without a byte-order mark; lines end in LF or CRLF.
     """
     if multiline is None:
-        multiline = holds_line_breaks(spark, paths, sep)
+        multiline, _ = line_profile(spark, paths, sep)
     if multiline:
         records = _records_across_lines(spark, paths, sep, record_limit)
     else:
@@ -273,9 +284,14 @@ def read_delimited_raw(
 ) -> DataFrame:
     """Positional text columns plus record ordinal and provenance.
 
-    Records shorter than the widest are padded with empty text. Without ``width`` one extra pass
-    finds the widest record; without ``content_hash`` each file's own hash is joined.
+    Records shorter than the widest are padded with empty text. When records span lines and no
+    ``width`` is given, one more pass over the assembled records finds it, so give it for large
+    files of that kind. Without ``content_hash`` each file's own hash is joined.
     """
+    if multiline is None:
+        multiline, widest = line_profile(spark, paths, sep)
+        if width is None and not multiline:
+            width = widest
     records = read_records(spark, paths, sep, multiline)
     if width is None:
         width = records.agg(F.max(F.size("fields"))).first()[0] or 0

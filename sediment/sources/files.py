@@ -49,3 +49,12 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
         if "FileAlreadyExistsException" in str(error):
             return False
         raise
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, fs = filesystem(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-from sediment.sources.files import exists, put_if_absent
+from sediment.sources.files import children, exists, put_if_absent, read_text
 
 COMMIT_SCHEMA = (
     "version bigint, operation string, mode string, label string, content_hash string, "
@@ -70,8 +70,13 @@ class SnapshotTable:
         return {c.content_hash: c.version for c in self.commits()}
 
     def latest(self) -> Commit | None:
-        commits = self.commits()
-        return commits[-1] if commits else None
+        """The current commit: record names carry the version, so only one record is read."""
+        folder = f"{self.path}/_commits"
+        records = children(self.spark, folder, ".json") if exists(self.spark, folder) else []
+        return self._record(records[-1]) if records else None
+
+    def _record(self, path: str) -> Commit:
+        return Commit(**json.loads(read_text(self.spark, path)))
 
     def current_version(self) -> int | None:
         last = self.latest()
@@ -119,9 +124,7 @@ class SnapshotTable:
         return True
 
     def _commit(self, commit: Commit) -> None:
-        folder = f"{self.path}/_commits"
-        final = f"{folder}/{commit.version:020d}.json"
-        if not put_if_absent(self.spark, final, json.dumps(asdict(commit)) + "\n"):
+        if not put_if_absent(self.spark, self._record_path(commit.version), json.dumps(asdict(commit)) + "\n"):
             raise ConcurrentCommit(f"version {commit.version} of {self.path} was committed by another writer")
 
     # --- reading --------------------------------------------------------------------------------
@@ -142,10 +145,7 @@ class SnapshotTable:
         Columns a version does not have are NULL. Schemas come from the commit records, so no file
         footer is opened for them.
         """
-        wanted = {int(v) for v in versions}
-        found = [c for c in self.commits() if c.version in wanted]
-        if missing := wanted - {c.version for c in found}:
-            raise ValueError(f"no such version: {sorted(missing)}")
+        found = [self._find(v) for v in sorted(set(versions))]
         fields = {f.name: f for c in found for f in _schema(c).fields}
         schema = StructType([*fields.values()]).add("version", IntegerType()).add("attempt", StringType())
         rows = (
@@ -170,10 +170,13 @@ class SnapshotTable:
         return rows.groupBy("version").agg(*[c.alias(n) for n, c in aggregates.items()]).orderBy("version")
 
     def _find(self, version: int) -> Commit:
-        for commit in self.commits():
-            if commit.version == version:
-                return commit
-        raise ValueError(f"no such version: {version}")
+        path = self._record_path(version)
+        if not exists(self.spark, path):
+            raise ValueError(f"no such version: {version}")
+        return self._record(path)
+
+    def _record_path(self, version: int) -> str:
+        return f"{self.path}/_commits/{version:020d}.json"
 
     def _read(self, commit: Commit) -> DataFrame:
         return self.spark.read.schema(_schema(commit)).parquet(f"{self.path}/{commit.path}")
