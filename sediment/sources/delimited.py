@@ -12,13 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sediment.sources.files import walk
 from sediment.sources.provenance import (
     POSITION_PREFIX,
     RECORD_NUMBER,
     file_path,
     _as_list,
     file_sha256,
-    list_files,
     relative_to,
     with_provenance,
 )
@@ -335,18 +335,21 @@ def exclude_keys(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Name below the root, format, size and, for CSV, number of physical lines of each file."""
-    files = list_files(spark, root)
-    name = relative_to(F.col("path"), root)
+    """Name below the root, format, size and, for CSV, number of physical lines of each file.
+
+    The listing is metadata, one entry per file; the lines are counted by Spark.
+    """
+    files = spark.createDataFrame(walk(spark, root), "path string, bytes bigint")
+    name = relative_to(F.col("path"), root, encoded=False)
     suffix = F.when(name.contains("."), F.upper(F.substring_index(name, ".", -1))).otherwise("")
-    listed = files.select("path", name.alias("file"), suffix.alias("format"), F.col("length").alias("bytes"))
+    listed = files.select(name.alias("file"), suffix.alias("format"), "bytes")
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{csv,CSV}")
         .text(root)
-        .groupBy(file_path().alias("path"))
+        .groupBy(file_path().alias("_path"))
         .agg(F.count(F.lit(1)).alias("_lines"))
+        .select(relative_to(F.col("_path"), root).alias("file"), "_lines")
     )
-    joined = listed.join(lines, "path", "left")
     counted = F.when(F.col("format") == "CSV", F.coalesce("_lines", F.lit(0)))
-    return joined.select("file", "format", "bytes", counted.alias("physical_lines"))
+    return listed.join(lines, "file", "left").select("file", "format", "bytes", counted.alias("physical_lines"))

@@ -25,6 +25,18 @@ def children(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     return sorted(p.toString() for p in found if p.getName()[0] not in "._" and p.getName().endswith(suffix))
 
 
+def walk(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+    """Path and size of every file below a folder, empty ones included, hidden ones left out."""
+    target, fs = filesystem(spark, root)
+    found = fs.listFiles(target, True)
+    files = []
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName()[0] not in "._":
+            files.append((status.getPath().toString(), status.getLen()))
+    return sorted(files)
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file completely or not at all; False when the name is already taken."""
     context = spark.sparkContext

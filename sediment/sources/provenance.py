@@ -30,9 +30,9 @@ def plain_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def relative_to(path: Column, root: str | None) -> Column:
+def relative_to(path: Column, root: str | None, encoded: bool = True) -> Column:
     """Path below the root, with '/' between folders; the bare file name when there is no root."""
-    decoded = plain_path(path)
+    decoded = plain_path(path) if encoded else path
     if root is None:
         return F.substring_index(decoded, "/", -1)
     folder = root.split(":", 1)[-1].lstrip("/").rstrip("/") + "/"
