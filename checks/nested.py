@@ -111,6 +111,23 @@ def item_pivot(spark, sf_dir):
     )
 
 
+@query(
+    "strict_add",
+    """
+select source, count(*) as rows, sum(case when quality is not null and toxic is not null then quality + toxic end)::bigint
+  as total, count(*) filter (where quality is not null and toxic is not null) as complete_rows
+from documents left join labels using (doc_id) group by source
+""",
+)
+def strict_add_query(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(strict_add("quality", "toxic")).alias("total"),
+        F.count_if(complete("quality", "toxic")).alias("complete_rows"),
+    )
+
+
 @query(
     "sum_of_products",
     """

@@ -77,11 +77,14 @@ class Expectation:
         """Number of failures for checks outside the shared pass."""
         if self.parent is None:
             return self.failing_rows(tables).agg(F.count(F.lit(1)).alias("failures"))
-        # References are counted per value before they meet the parents: a hot value is one row.
+        # Both sides become one row per value before they meet, so no value can be hot in the join.
+        # An outer join keeps that order; an anti join would be moved below the aggregation.
         child = tables[self.table].filter(F.col(self.column).isNotNull())
-        per_value = child.groupBy(self.column).agg(F.count(F.lit(1)).alias("_n"))
-        lost = orphans(per_value, tables[self.parent[0]], self.column, self.parent[1])
-        return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+        per_value = child.groupBy(F.col(self.column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        known = tables[self.parent[0]].select(F.col(self.parent[1]).alias("_value")).distinct()
+        joined = per_value.join(known.withColumn("_found", F.lit(True)), "_value", "left")
+        lost = F.sum(F.when(F.col("_found").isNull(), F.col("_n")))
+        return joined.agg(F.coalesce(lost, F.lit(0)).alias("failures"))
 
 
 def expect_not_null(table: str, col: str) -> Expectation:

@@ -19,12 +19,15 @@ from sediment.sources.provenance import (
     file_path,
     _as_list,
     file_sha256,
+    list_files,
     relative_to,
     with_provenance,
 )
 
 BLOCK = ["_file", "_block"]
 LINE_END = r"\r\z"
+# A block row is a path and three numbers: a million of them stay within a few hundred megabytes.
+BROADCAST_BLOCKS = 1_000_000
 
 
 def _quoted(closing: str) -> str:
@@ -65,15 +68,26 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def with_record_number(df: DataFrame, name: str = RECORD_NUMBER) -> DataFrame:
+def block_count(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Number of blocks the files are read in, from their sizes; contents are not read."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
+    bytes_per_block = int(size.removesuffix("b")) if size.removesuffix("b").isdigit() else 128 << 20
+    blocks = F.ceil(F.col("length") / F.lit(bytes_per_block))
+    return list_files(spark, paths).agg(F.coalesce(F.sum(blocks), F.lit(0)).cast("bigint")).first()[0]
+
+
+def with_record_number(df: DataFrame, name: str = RECORD_NUMBER, blocks_known: int | None = None) -> DataFrame:
     """Number the lines of each file from 1, by block offsets instead of one window per file.
 
     Expects the columns of :func:`read_lines`. Only the block table, one row per file block, is
-    summed up in order.
+    summed up in order. When the number of blocks is known and small the table is broadcast, so the
+    text is not shuffled; otherwise Spark chooses by measured size.
     """
     blocks = df.groupBy(*BLOCK).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0))).drop("_lines")
+    if blocks_known is not None and blocks_known <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     joined = df.join(offsets, BLOCK, "left")
     number = F.col("_offset") + F.col("_pos") - F.col("_first") + 1
     # The two passes must see the same blocks; a row that lost its block stops the job.
@@ -85,7 +99,7 @@ def with_record_number(df: DataFrame, name: str = RECORD_NUMBER) -> DataFrame:
 
 def _records_by_line(spark: SparkSession, paths, sep: str) -> DataFrame:
     """Each line is a record; a quote left open stops the job instead of splitting a record."""
-    lines = with_record_number(read_lines(spark, paths), "_record")
+    lines = with_record_number(read_lines(spark, paths), "_record", block_count(spark, paths))
     guarded = F.when(
         _leaves_open(F.col("_text"), sep),
         F.raise_error(F.lit("a quoted field holds a line break: read with multiline=True")).cast("string"),

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 # Names of the technical columns and of the positional and document columns.
 ORIGIN = "_arquivo_origem"
@@ -17,6 +18,8 @@ RECORD_NUMBER = "_linha_origem"
 DOCUMENT = "conteudo_json"
 POSITION_PREFIX = "col_"
 
+NESTED = (ArrayType, MapType, StructType)
+
 # Largest file that is read as one value; Spark holds no value above 2 GB.
 WHOLE_FILE_LIMIT = 1 << 30
 
@@ -83,22 +86,30 @@ def file_sha256(spark: SparkSession, paths: str | Sequence[str], limit: int = WH
     )
 
 
-def _fingerprint(row: Column) -> Column:
+def _fingerprint(*row: Column) -> Column:
     """Order-independent mark of a set of rows: count and sums of two independent 64-bit hashes."""
     wide = "decimal(38,0)"
     return F.concat_ws(
         ":",
         F.count(F.lit(1)).cast("string"),
-        F.sum(F.xxhash64(row).cast(wide)).cast("string"),
-        F.sum(F.xxhash64(F.lit(1), row).cast(wide)).cast("string"),
+        F.sum(F.xxhash64(*row).cast(wide)).cast("string"),
+        F.sum(F.xxhash64(F.lit(1), *row).cast(wide)).cast("string"),
     )
 
 
 def frame_fingerprint(df: DataFrame) -> str:
     """Content hash of a DataFrame: the same rows give the same hash in any order and layout."""
-    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    cells: list[Column] = []
+    for field in sorted(df.schema.fields, key=lambda f: f.name):
+        if isinstance(field.dataType, NESTED):
+            # Missing parts inside a nested value must count, so it is hashed as text.
+            cells.append(F.to_json(F.struct(field.name), {"ignoreNullFields": "false"}))
+        else:
+            # The hash passes over NULL, so whether the cell is missing goes in as well.
+            cells += [F.col(field.name), F.col(field.name).isNull()]
     schema = ",".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema))
-    return df.agg(F.sha2(F.concat_ws(":", F.lit(schema), _fingerprint(row)), 256)).first()[0]
+    mark = _fingerprint(*cells) if cells else F.count(F.lit(1)).cast("string")
+    return df.agg(F.sha2(F.concat_ws(":", F.lit(schema), mark), 256)).first()[0]
 
 
 def source_hash(spark: SparkSession, path: str) -> str:

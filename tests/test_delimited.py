@@ -166,3 +166,17 @@ def test_document_text_is_unchanged(spark, tmp_path):
 def test_separator_is_checked():
     with pytest.raises(ValueError):
         d._class('"')
+
+
+def test_fingerprint_sees_where_a_value_is_missing(spark):
+    a = spark.createDataFrame([(1, None, [1, None])], "a int, b int, c array<int>")
+    b = spark.createDataFrame([(None, 1, [1, None])], "a int, b int, c array<int>")
+    c = spark.createDataFrame([(1, None, [None, 1])], "a int, b int, c array<int>")
+    assert len({pv.frame_fingerprint(x) for x in (a, b, c)}) == 3
+
+
+def test_block_count_follows_the_block_size(spark, tmp_path, blocks):
+    (tmp_path / "a.csv").write_text("x" * 100, encoding="utf-8")
+    (tmp_path / "b.csv").write_text("x" * 10, encoding="utf-8")
+    blocks(30)
+    assert d.block_count(spark, str(tmp_path)) == 5
