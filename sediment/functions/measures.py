@@ -13,7 +13,7 @@ from sediment.functions.text import _col
 
 # The grammar of quantity texts such as "2 x 7500 + 10000" and the statuses given to them.
 QUANTITY_TERM = r"(?:[0-9]+\s*x\s*)?[0-9][0-9.]*"
-QUANTITY_FILLER = r"^(?:\s|\+|\be\b|\blitros?\b|\bl\b)*\z"
+QUANTITY_FILLER = r"[\s+]|(?<!\p{L})(?:e|litros?|l)(?!\p{L})"
 STATUS_UNDECLARED = "SEM_CAPACIDADE_DECLARADA"
 STATUS_UNPARSED = "NAO_INTERPRETADO"
 STATUS_PARSED = "INTERPRETADO"
@@ -125,8 +125,7 @@ def with_quantity(
     text = F.lower(F.col(col))
     found = F.regexp_extract_all(text, F.lit(QUANTITY_TERM), F.lit(0))
     if strict:
-        leftover = F.regexp_replace(text, QUANTITY_TERM, " ")
-        found = F.when(leftover.rlike(QUANTITY_FILLER), found)
+        found = F.when(text.rlike(f"^(?:(?>{QUANTITY_TERM})|{QUANTITY_FILLER})*+\\z"), found)
     amounts = F.filter(F.transform(F.col("_terms"), _term_amount), lambda a: a.isNotNull())
     return (
         df.withColumn("_terms", found)

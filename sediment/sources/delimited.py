@@ -205,6 +205,12 @@ def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: in
             F.when(F.col("_ends_open"), F.col("_text")).otherwise(F.regexp_replace("_text", LINE_END, "")),
         )
 
+    records = (
+        placed(blocks)
+        .filter(F.col("_local") > 0)
+        .groupBy(*BLOCK, (F.col("_offset") + F.col("_local")).alias("_record"))
+        .agg(_in_order("_pos").alias("_text"), F.max_by("_ends_open", "_pos").alias("_ends_open"))
+    )
     # The front of a block may finish a record begun in an earlier block: it moves to that block.
     # A quote that is never closed is noticed by the running length, before anything is gathered.
     fronts = (
@@ -215,12 +221,6 @@ def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: in
         .groupBy("_file", F.col("_owner").alias("_block"))
         .agg(_in_order("_block", "_pos").alias("_rest"))
     )
-    records = (
-        placed(blocks)
-        .filter(F.col("_local") > 0)
-        .groupBy(*BLOCK, (F.col("_offset") + F.col("_local")).alias("_record"))
-        .agg(_in_order("_pos").alias("_text"), F.max_by("_ends_open", "_pos").alias("_ends_open"))
-    )
     whole = F.when(
         F.col("_ends_open") & F.col("_rest").isNotNull(), F.concat("_text", F.lit("\n"), "_rest")
     ).otherwise(F.col("_text"))

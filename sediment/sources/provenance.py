@@ -29,8 +29,9 @@ def file_path() -> Column:
 
 
 def plain_path(path: Column) -> Column:
-    """File path without URL escapes."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """File path without URL escapes; most paths have none and pass through."""
+    escaped = F.contains(path, F.lit("%"))
+    return F.when(escaped, F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def relative_to(path: Column, root: str | None, encoded: bool = True) -> Column:

@@ -180,3 +180,13 @@ def test_block_count_follows_the_block_size(spark, tmp_path, blocks):
     (tmp_path / "b.csv").write_text("x" * 10, encoding="utf-8")
     blocks(30)
     assert d.block_count(spark, str(tmp_path)) == 5
+
+
+def test_records_over_lines_scan_twice_and_shuffle_the_text_once(spark, tmp_path, blocks):
+    path = tmp_path / "t.csv"
+    path.write_text('1;"a\nb"\n2;c\n' * 200, encoding="utf-8")
+    blocks(500)
+    df = d.read_records(spark, str(path), multiline=True)
+    assert len(df.collect()) == 400
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan text") == 2
