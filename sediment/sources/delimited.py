@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sediment.sources.files import walk
+from sediment.session import TARGET_PARTITION_BYTES
+from sediment.sources.files import content_size, walk
 from sediment.sources.provenance import (
     POSITION_PREFIX,
     RECORD_NUMBER,
     file_path,
     _as_list,
     file_sha256,
-    list_files,
     relative_to,
     with_provenance,
 )
@@ -69,11 +69,13 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def block_count(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """Number of blocks the files are read in, from their sizes; contents are not read."""
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
-    bytes_per_block = int(size.removesuffix("b")) if size.removesuffix("b").isdigit() else 128 << 20
-    blocks = F.ceil(F.col("length") / F.lit(bytes_per_block))
-    return list_files(spark, paths).agg(F.coalesce(F.sum(blocks), F.lit(0)).cast("bigint")).first()[0]
+    """At most how many blocks the files are read in, from their sizes; contents are not read."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    bytes_per_block = int(size) if size.isdigit() else TARGET_PARTITION_BYTES
+    total, files = content_size(spark, _as_list(paths))
+    # Small inputs are cut finer, so that every core gets a block.
+    cores = spark.sparkContext.defaultParallelism
+    return total // bytes_per_block + files + cores
 
 
 def with_record_number(df: DataFrame, name: str = RECORD_NUMBER, blocks_known: int | None = None) -> DataFrame:

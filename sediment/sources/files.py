@@ -18,6 +18,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, without a trailing slash."""
+    target, fs = filesystem(spark, path)
+    return fs.makeQualified(target).toString().rstrip("/")
+
+
+def content_size(spark: SparkSession, paths: list[str]) -> tuple[int, int]:
+    """Total bytes and number of files below the paths, from the file system's own summary."""
+    total = files = 0
+    for path in paths:
+        target, fs = filesystem(spark, path)
+        found = [s.getPath() for s in fs.globStatus(target) or []]
+        for summary in map(fs.getContentSummary, found):
+            total += summary.getLength()
+            files += summary.getFileCount()
+    return total, files
+
+
 def children(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     """Names below a folder, hidden ones left out, in name order."""
     target, fs = filesystem(spark, path)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sediment.sources.delimited import read_delimited_raw
 from sediment.sources.documents import read_document_raw
-from sediment.sources.provenance import source_hash
+from sediment.sources.provenance import source_hash, source_hashes
 from sediment.sources.snapshots import SnapshotTable
 
 # A reader gets the source path, its version label and its content hash.
@@ -45,7 +45,6 @@ def ingest_snapshots(
     paths: Sequence[str],
     read: Reader,
     minimum: int = 2,
-    hashes: Mapping[str, str] | None = None,
 ) -> list[int]:
     """Land a series of snapshots in the order of their names; returns the versions written.
 
@@ -56,8 +55,7 @@ def ingest_snapshots(
     ordered = sorted(paths, key=label_of)
     if len(ordered) < minimum:
         raise FileNotFoundError(f"{minimum} snapshots are needed, {len(ordered)} found")
-    known = dict(hashes or {})
-    content = {p: known.get(p) or source_hash(table.spark, p) for p in ordered}
+    content = source_hashes(table.spark, ordered)
     seen = table.history()
     written: list[int] = []
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from sediment.sources.files import content_size, qualified
+
 # Names of the technical columns and of the positional and document columns.
 ORIGIN = "_arquivo_origem"
 VERSION = "_versao_fonte"
@@ -18,6 +21,8 @@ RECORD_NUMBER = "_linha_origem"
 DOCUMENT = "conteudo_json"
 POSITION_PREFIX = "col_"
 
+# Scheme and leading slashes: the same file is written with one or three of them.
+SCHEME = "^[A-Za-z0-9+.-]+:/+|^/+"
 NESTED = (ArrayType, MapType, StructType)
 
 # Largest file that is read as one value; Spark holds no value above 2 GB.
@@ -65,6 +70,8 @@ def file_sha256(spark: SparkSession, paths: str | Sequence[str], limit: int = WH
         .filter(F.col("length") <= limit)
         .select(file_path().alias("path"), "length", F.sha2(F.col("content"), 256).alias("sha256"))
     )
+    if content_size(spark, _as_list(paths))[0] <= limit:
+        return exact
     listed = list_files(spark, paths).filter(F.col("length") > limit)
     large = [r[0] for r in listed.select(plain_path(F.col("path"))).collect()]
     if not large:
@@ -113,15 +120,36 @@ def frame_fingerprint(df: DataFrame) -> str:
     return df.agg(F.sha2(F.concat_ws(":", F.lit(schema), mark), 256)).first()[0]
 
 
+def source_hashes(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Content hash of each source, all in one pass: the SHA-256 of a single file, or a mark over
+    the names and hashes of the files of a folder."""
+    named = {path: _bare(qualified(spark, path)) for path in paths}
+    files = file_sha256(spark, list(named)).withColumn("path", F.regexp_replace(plain_path(F.col("path")), SCHEME, ""))
+    known = F.array(*[F.lit(bare) for bare in named.values()])
+    inside = F.filter(known, lambda s: (F.col("path") == s) | F.startswith(F.col("path"), F.concat(s, F.lit("/"))))
+    below = F.substring(F.col("path"), F.length("_source") + 1, F.length("path"))
+    marks = (
+        files.withColumn("_source", F.explode(inside))
+        .groupBy("_source")
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.max("sha256").alias("only"),
+            F.sha2(_fingerprint(below, F.col("sha256")), 256).alias("mark"),
+        )
+        .collect()
+    )
+    found = {r["_source"]: r["only"] if r["files"] == 1 else r["mark"] for r in marks}
+    if missing := [p for p, bare in named.items() if bare not in found]:
+        raise FileNotFoundError(f"no content at {missing}")
+    return {path: found[bare] for path, bare in named.items()}
+
+
 def source_hash(spark: SparkSession, path: str) -> str:
-    """Content hash of one source: the SHA-256 of a single file, or a mark over the files of a folder."""
-    files = file_sha256(spark, path).withColumn("path", F.substring_index("path", "/", -1))
-    count, only, mark = files.agg(
-        F.count(F.lit(1)), F.max("sha256"), F.sha2(_fingerprint(F.struct("path", "sha256")), 256)
-    ).first()
-    if count == 0:
-        raise FileNotFoundError(path)
-    return only if count == 1 else mark
+    return source_hashes(spark, [path])[path]
+
+
+def _bare(path: str) -> str:
+    return re.sub(SCHEME, "", path)
 
 
 def with_provenance(

