@@ -28,7 +28,8 @@ def count_declared(declared: Column | str) -> Column:
 
 
 def count_unread(declared: Column | str, ok: Column) -> Column:
-    return F.count_if(_col(declared).isNotNull() & ~ok)
+    """Declarations that were not read; not knowing counts as not read."""
+    return F.count_if(_col(declared).isNotNull() & ~F.coalesce(ok, F.lit(False)))
 
 
 def strict_sum(value: Column | str, declared: Column | str, ok: Column) -> Column:
