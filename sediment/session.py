@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,28 +25,16 @@ def session_conf(input_bytes: int, cores: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it then gets a temporary folder of its own.
+    Without the setting it is a folder inside the warehouse, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = _local_folder(spark)
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
-_LOCAL: dict[str, str] = {}
-
-
-def _local_folder(spark: SparkSession) -> str:
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="sediment-")
-    return _LOCAL[app]
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
