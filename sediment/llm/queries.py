@@ -6,7 +6,7 @@ from importlib import import_module
 
 from sediment.llm.registry import ORACLES, QUERIES
 
-MODULES = ("q_simhash",)
+MODULES = ("q_simhash", "q_language", "q_quality")
 
 for _name in MODULES:
     import_module(f"sediment.llm.{_name}")
