@@ -209,4 +209,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = roots.join(prints, roots.u == prints.fp).groupBy("root").agg(F.min("first_id").alias("component_id"))
     moved = roots.join(first, "root").select(F.col("u").alias("fp"), "component_id")
     classes = prints.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return slim.join(classes, "fp").select("id", "fp", "component_id")
+    # stored, so that the join below meets two plain shuffles and a fingerprint of very many rows can be split
+    return slim.join(stored(classes, "simhash-classes"), "fp").select("id", "fp", "component_id")
