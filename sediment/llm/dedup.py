@@ -1,0 +1,121 @@
+"""One document of each group of near copies: SimHash candidates by the generalised pigeonhole, then shingle similarity.
+
+The fingerprint covers the distinct words of a text, since an edit of one word moves it less than one over shingles;
+whether two candidates are near copies is then decided by their sets of five-word shingles, whose similarity is taken
+from the smallest ``SKETCH`` hashes of each (all of them for texts with no more).
+
+It takes two rounds. In the first, keys shared by more than ``PAIRS_UP_TO`` texts compare each text with the smallest
+of them only, which folds large groups of near copies. The second compares all pairs of what stands for the groups, so
+in the end no two documents that stay are candidates of each other and similar.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sediment.llm.common import free_name, stored
+from sediment.llm.components import smallest_reachable
+from sediment.llm.simhash import PAIRS_UP_TO, distinct_word_fingerprint, keyed_groups
+
+SHINGLE = 5
+SIMILAR = 0.8
+MAX_DISTANCE = 6
+SKETCH = 128
+PRINT = "item long, fp long, sketch array<int>"
+
+
+def shingle_sketch(words: list[bytes], size: int = SKETCH) -> np.ndarray:
+    """Smallest distinct 32-bit hashes of the shingles of five words (of the whole text if it has fewer)."""
+    if not words:
+        return np.zeros(0, np.int32)
+    joined = b" ".join(words)
+    if len(words) <= SHINGLE:
+        starts, ends = [0], [len(joined)]
+    else:
+        spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
+        starts = [0, *(spaces[: len(words) - SHINGLE] + 1).tolist()]
+        ends = [*spaces[SHINGLE - 1 :].tolist(), len(joined)]
+    hashes = np.fromiter(map(xxhash.xxh32_intdigest, map(joined.__getitem__, map(slice, starts, ends)), repeat(5)), np.uint32, len(starts))
+    return np.unique(hashes)[:size].view(np.int32)
+
+
+def _prints(text: Column) -> Column:
+    @F.arrow_udf(PRINT)
+    def prints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            items, fps, sketches, offsets = [], [], [], [0]
+            for value in batch:
+                raw = value.as_py() or b""
+                words = raw.lower().split()
+                items.append(xxhash.xxh64_intdigest(raw, 42))
+                fps.append(distinct_word_fingerprint(words))
+                sketches.append(shingle_sketch(words))
+                offsets.append(offsets[-1] + len(sketches[-1]))
+            flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int32)
+            columns = [
+                pa.array(np.array(items, dtype=np.uint64).view(np.int64), pa.int64()),
+                pa.array(fps, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
+            ]
+            yield pa.StructArray.from_arrays(columns, ["item", "fp", "sketch"])
+
+    return prints.asNondeterministic()(text.cast("binary"))
+
+
+def sketch_similarity(a: Column, b: Column, size: int = SKETCH) -> Column:
+    """Jaccard similarity from the smallest hashes of both sets together; 1 for two empty sets."""
+    union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
+    shared = F.size(F.array_intersect(union, F.array_intersect(a, b)))
+    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(shared / F.size(union))
+
+
+def _round(items: DataFrame, sketches: DataFrame, fold_crowds: bool, max_distance: int, similar: float) -> DataFrame:
+    """(u, root) of the items that are linked to others in this round."""
+    shared = keyed_groups(items, ["node", "fp"], max_distance, F.min(F.struct("node", "fp")).alias("centre"))
+    near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
+    few = shared.where(F.col("n") <= PAIRS_UP_TO) if fold_crowds else shared
+    a, b = few.select("mask", "key", F.col("node").alias("u"), F.col("fp").alias("fu")), few.select("mask", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
+    same_key = (a.mask == b.mask) & (a.key == b.key)
+    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & near(F.col("fu"), F.col("fv"))).select("u", "v")
+    if fold_crowds:
+        crowded = shared.where((F.col("n") > PAIRS_UP_TO) & (F.col("node") != F.col("centre.node")))
+        pairs = pairs.unionByName(crowded.where(near(F.col("fp"), F.col("centre.fp"))).select(F.col("node").alias("u"), F.col("centre.node").alias("v")))
+    pairs = stored(pairs.distinct(), "dedup-pairs")
+    left = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"))
+    right = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"))
+    edges = pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar).select("u", "v")
+    return stored(smallest_reachable(edges), "dedup-roots")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = MAX_DISTANCE, similar: float = SIMILAR) -> DataFrame:
+    """``docs`` with one row of each group of near copies, the one of the smallest id that stands for the group.
+
+    Equal texts are always one group, null counts as empty; rows equal in id and text are one document. Texts are
+    told apart by a 64-bit hash. Rows of the same id with different texts are different documents. All columns stay.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    slim = docs.select(F.col(id_col).alias("id"), _prints(text).alias("p")).select("id", "p.*")
+    slim = stored(slim, "dedup-slim")
+    items = slim.groupBy("item").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
+    items = stored(items.select(F.struct("id", "item").alias("node"), "fp", "sketch"), "dedup-items")
+    first = _round(items.select("node", "fp"), items, True, max_distance, similar)
+    gone = first.where("u <> root").select(F.col("u").alias("node"))
+    rest = stored(items.select("node", "fp").join(gone, "node", "left_anti"), "dedup-rest")
+    second = _round(rest, items, False, max_distance, similar)
+    gone = gone.unionByName(second.where("u <> root").select(F.col("u").alias("node")))
+    stay = items.select("node").join(gone, "node", "left_anti").select(F.col("node.id").alias("id"), F.col("node.item").alias("item"))
+    copies = slim.groupBy("id", "item").agg(F.count(F.lit(1)).alias("copies"))
+    stay = stay.alias("s").join(copies.alias("c"), F.expr("s.id <=> c.id and s.item = c.item")).select("s.id", "s.item", "copies")
+    item = free_name(docs, "dedup_item")
+    marked = docs.withColumn(item, F.xxhash64(text)).alias("d")
+    kept = marked.join(stay.alias("s"), F.expr(f"d.`{item}` = s.item and d.`{id_col}` <=> s.id"))
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    once = kept.where("s.copies = 1").select(*columns)
+    return once.unionByName(kept.where("s.copies > 1").select(*columns, F.col(f"d.`{item}`")).dropDuplicates([id_col, item]).drop(item))

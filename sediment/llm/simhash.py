@@ -47,6 +47,11 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     hashes = np.fromiter(
         map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, starts, ends)), repeat(42)), np.uint64, len(starts)
     )
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed number."""
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), SLICE):
         part = hashes[at : at + SLICE].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -55,6 +60,12 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(packed.view("<i8")[0])
 
 
+def distinct_word_fingerprint(words: list[bytes]) -> int:
+    """Signed 64-bit SimHash of the set of words; 0 without a word."""
+    distinct = set(words)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(42)), np.uint64, len(distinct))) if distinct else 0
+
+
 def fingerprint_column(text: Column, width: int = 3) -> Column:
     @F.arrow_udf("long")
     def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -178,17 +189,24 @@ def _half_way_links(crowded: DataFrame, max_distance: int) -> DataFrame:
     return meet.join(centres, "at").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
+def keyed_groups(prints: DataFrame, columns: list[str], max_distance: int, *more: Column) -> DataFrame:
+    """Rows of ``prints`` once for each key they share with others: mask, key, the columns, n rows with the key, ``more``.
+
+    Any two fingerprints (fp) within ``max_distance`` bits share at least one key. ``more`` are aggregates by key.
+    """
+    rows, together = _bit_counts(prints)
+    mask = F.explode(F.array(*map(F.lit, key_masks(plan(together, rows, max_distance)))))
+    keyed = prints.select(*columns, mask.alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), *columns)
+    groups = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), *more).where("n > 1")
+    return stored(keyed.join(groups, ["mask", "key"]), "simhash-keys")
+
+
 def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """Edges (u, v) between the distinct fingerprints of ``prints`` (fp) that differ in at most ``max_distance`` bits.
 
     All such pairs from groups compared pairwise; from larger groups enough of them to connect all that are linked.
     """
-    rows, together = _bit_counts(prints)
-    masks = key_masks(plan(together, rows, max_distance))
-    mask = F.explode(F.array(*map(F.lit, masks)))
-    keyed = prints.select("fp", mask.alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-    groups = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(keyed.join(groups, ["mask", "key"]), "simhash-keys")
+    shared = keyed_groups(prints, ["fp"], max_distance)
     few = shared.where(F.col("n") <= pairs_up_to)
     a, b = few.alias("a"), few.alias("b")
     close = F.expr(f"a.mask = b.mask and a.key = b.key and a.fp < b.fp and bit_count(a.fp ^ b.fp) <= {max_distance}")
