@@ -113,7 +113,7 @@ def fit(docs: DataFrame, may_learn: Column, sample_rows: int = SAMPLE_ROWS) -> L
     rows = bounded_sample(keys, docs, sample_rows)
     sample = [r for r in rows.select("label", vectors(F.col("text")).alias("v")).collect() if r.v is not None]
     sample.sort(key=lambda r: (r.label, bytes(r.v)))
-    x = np.array([np.frombuffer(r.v, dtype=np.float16) for r in sample], dtype=np.float32).reshape(len(sample), -1)
+    x = np.array([np.frombuffer(r.v, dtype=np.float16) for r in sample], dtype=np.float32).reshape(len(sample), 1 << BITS)
     return LanguageModel.fit(x, [r.label for r in sample])
 
 
