@@ -97,7 +97,7 @@ def _round(items: DataFrame, sketches: DataFrame, fold_crowds: bool, max_distanc
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = MAX_DISTANCE, similar: float = SIMILAR) -> DataFrame:
     """``docs`` with one row of each group of near copies, the one of the smallest id that stands for the group.
 
-    Equal texts are always one group, null counts as empty; rows equal in id and text are one document. Texts are
+    Equal texts are always one group, null counts as empty, all texts without a word are alike; rows equal in id and text are one document. Texts are
     told apart by a 64-bit hash. Rows of the same id with different texts are different documents. All columns stay.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
