@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -11,11 +12,11 @@ from sediment.plans.order_star import table
 from sediment.session import scratch, shared_dir
 from sediment.sources import delimited, provenance
 from sediment.sources.documents import read_document_raw
-from sediment.sources.files import children
+from sediment.sources.files import children, put_if_absent
 from sediment.sources.ingest import delimited_reader, ingest_one, ingest_snapshots
 from sediment.sources.layers import read_layer, write_layer
 from sediment.sources.snapshots import SnapshotTable
-from sediment.streaming.arrivals import stream_ingest
+from sediment.streaming.arrivals import COMPLETE, stream_ingest
 
 DOCUMENTS_PER_FILE = 1000
 
@@ -58,11 +59,11 @@ def raw_pages(spark, sf_dir):
 
 @query("raw_provenance", "select 'v1' as version, count(*) as rows, count(*) as hashed, count(*) as placed from lineitem")
 def raw_provenance(spark, sf_dir):
-    """Every landed record names its version, its file and that file's SHA-256."""
+    """Every landed record names its version, its file and that file's content hash."""
     path = export(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), "lines")
     raw = delimited.read_delimited_raw(spark, path, "v1", root=path)
-    known = provenance.file_sha256(spark, path).select(
-        provenance.relative_to(F.col("path"), path).alias("file"), F.col("sha256").alias("known")
+    known = provenance.file_hashes(spark, path).select(
+        provenance.relative_to(F.col("path"), path).alias("file"), F.col("hash").alias("known")
     )
     joined = raw.join(known, F.col(provenance.ORIGIN) == F.col("file"), "left")
     return joined.groupBy(F.col(provenance.VERSION).alias("version")).agg(
@@ -192,12 +193,18 @@ def current_snapshot(spark, sf_dir):
 
 HISTORY_SQL = """
 select (row_number() over (order by o_orderstatus) - 1)::bigint as version, 'WRITE' as operation, 'Overwrite' as mode,
-  'o_orderstatus=' || o_orderstatus as label, count(*) as rows from orders group by o_orderstatus
+  'o_orderstatus=' || o_orderstatus as label, count(*) as rows, true as adds_files, true as removes_former
+  from orders group by o_orderstatus
 """
 
 
 def history(versions):
-    return versions.commit_log().select("version", "operation", "mode", "label", "rows")
+    """The log, and whether each commit adds files and removes as many as the one before had added."""
+    former = F.coalesce(F.lag("files_added").over(Window.orderBy("version")), F.lit(0))
+    return versions.commit_log().select(
+        "version", "operation", "mode", "label", "rows",
+        (F.col("files_added") > 0).alias("adds_files"), (F.col("files_removed") == former).alias("removes_former"),
+    )
 
 
 def status_folders(spark, sf_dir):
@@ -219,7 +226,7 @@ def idempotent_ingest(spark, sf_dir):
 
 @query(
     "commit_log",
-    HISTORY_SQL + " union all select 3, 'RESTORE', 'Overwrite', 'o_orderstatus=F', count(*) from orders "
+    HISTORY_SQL + " union all select 3, 'RESTORE', 'Overwrite', 'o_orderstatus=F', count(*), true, true from orders "
     "where o_orderstatus = 'F'",
 )
 def commit_log(spark, sf_dir):
@@ -251,6 +258,8 @@ def land_one(spark, sf_dir):
 def stream_arrivals(spark, sf_dir):
     """The same snapshots noticed by a file stream, and a second start that finds nothing new."""
     root = status_folders(spark, sf_dir)
+    for folder in children(spark, root):
+        put_if_absent(spark, folder + COMPLETE, "all parts\n")
     shared_dir(spark)
     checkpoint = scratch(spark, "stream")
     versions = SnapshotTable(spark, scratch(spark, "streamed"))

@@ -30,15 +30,16 @@ with labelled as (
 
 def rated_documents(spark, sf_dir):
     """Share of spaces in each labelled document; documents without a label have no measurement."""
-    documents = table(spark, sf_dir, "documents")
+    # counted before the join, so that no text travels
+    spaces = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
+    documents = table(spark, sf_dir, "documents").withColumn("spaces", spaces).drop("text")
     labels = table(spark, sf_dir, "labels").withColumn("measured", F.lit(True))
     joined = documents.join(labels, "doc_id", "left").withColumn("measured", F.coalesce("measured", F.lit(False)))
     graded = F.col("quality").isNotNull()
-    spaces = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
     return joined.select(
         "doc_id", "lang", "source", "quality", "toxic", "measured",
         F.when(graded, F.col("n_chars")).alias("chars"),
-        F.when(graded, spaces).cast("bigint").alias("spaces"),
+        F.when(graded, F.col("spaces")).cast("bigint").alias("spaces"),
     ).withColumns(
         {
             "eligible": complete("chars", "spaces", positive="chars"),
@@ -94,11 +95,11 @@ def coverage_counts(spark, sf_dir):
 with spend as (
   select c_custkey, c_acctbal, case when c_acctbal >= 0 then c_acctbal end as credit,
          count(o_orderkey) as orders, sum(case when o_orderstatus = 'F' then 1 end) as filled
-  from customer left join (select * from orders where o_orderpriority = '1-URGENT') on o_custkey = c_custkey
+  from customer left join orders on o_custkey = c_custkey
   group by c_custkey, c_acctbal
 ), gaps as (
   select case when credit is not null and filled is not null and filled > 0 then null
-              when orders = 0 then 'no urgent order'
+              when orders = 0 then 'no order'
               when credit is null and filled is null then 'missing credit and filled order'
               when credit is null then 'missing credit'
               when filled is null then 'missing filled order'
@@ -108,16 +109,15 @@ select gap, count(*) as rows from gaps where gap is not null group by gap
 """,
 )
 def gap_histogram(spark, sf_dir):
-    """Why a customer has no urgent-order index: nothing urgent, no credit, nothing filled, or both."""
-    urgent = (
+    """Why a customer has no index of filled orders: no order, no credit, nothing filled, or both."""
+    ordered = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "1-URGENT")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.when(F.col("o_orderstatus") == "F", 1)).alias("filled"))
     )
     spend = (
         table(spark, sf_dir, "customer")
-        .join(urgent, "c_custkey", "left")
+        .join(ordered, "c_custkey", "left")
         .select(
             F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("credit"),
             "filled",
@@ -128,7 +128,7 @@ def gap_histogram(spark, sf_dir):
         complete("credit", "filled", positive="filled"),
         "measured",
         {"credit": "credit", "filled": "filled order"},
-        no_measure="no urgent order",
+        no_measure="no order",
         missing_prefix="missing ",
         joiner=" and ",
         zero="zero filled",
@@ -191,12 +191,14 @@ def slice_filter(spark, sf_dir):
     FACT_SQL
     + """
 select nation, count(*) as eligible,
-  floor(100 * (100.0::double * cast(sum(discounted) as double) / cast(sum(gross) as double)) + 0.5) / 100 as pooled_index
-from fact where eligible group by nation order by pooled_index desc, nation
+  floor(100 * (100.0::double * cast(sum(discounted) as double) / cast(sum(gross) as double)) + 0.5) / 100 as pooled_index,
+  row_number() over (order by pooled_index desc, nation) as position
+from fact where eligible group by nation
 """,
 )
 def ranked_ratio(spark, sf_dir):
-    return metrics.ranked_ratio(order_star.fact_rows(spark, sf_dir), ["nation"], "discounted", "gross", "eligible")
+    ranked = metrics.ranked_ratio(order_star.fact_rows(spark, sf_dir), ["nation"], "discounted", "gross", "eligible")
+    return metrics.with_position(ranked, [F.col("pooled_index").desc_nulls_last(), F.col("nation").asc()])
 
 
 @query(
@@ -270,20 +272,20 @@ def top_k(spark, sf_dir):
 @query(
     "sorted_measure",
     """
-select d.doc_id, l.quality from documents d left join labels l on d.doc_id = l.doc_id
-order by l.quality desc nulls last, d.doc_id
+select d.doc_id, l.quality, row_number() over (order by l.quality desc nulls last, d.doc_id) as position
+from documents d left join labels l on d.doc_id = l.doc_id
 """,
 )
 def sorted_measure(spark, sf_dir):
     rows = rated_documents(spark, sf_dir).select("doc_id", "quality")
-    return metrics.order_by_measure(rows, "quality", "doc_id")
+    return metrics.with_position(rows, metrics.measure_order("quality", "doc_id"))
 
 
 @query(
     "sorted_answer",
     """
-select n_name, c_mktsegment, c_custkey, c_acctbal from customer join nation on c_nationkey = n_nationkey
-order by n_name, c_mktsegment, c_custkey
+select n_name, c_mktsegment, c_custkey, c_acctbal, row_number() over (order by n_name, c_mktsegment, c_custkey) as position
+from customer join nation on c_nationkey = n_nationkey
 """,
 )
 def sorted_answer(spark, sf_dir):
@@ -291,15 +293,15 @@ def sorted_answer(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     joined = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
     rows = joined.select("n_name", "c_mktsegment", "c_custkey", "c_acctbal")
-    return metrics.order_by(rows, "n_name", "c_mktsegment", "c_custkey")
+    return metrics.with_position(rows, metrics.key_order("n_name", "c_mktsegment", "c_custkey"))
 
 
 @query(
     "sorted_text",
     """
-select conv_id, turn, role, text from conversations order by text collate pt, conv_id, turn
+select conv_id, turn, role, text, row_number() over (order by text collate pt, conv_id, turn) as position from conversations
 """,
 )
 def sorted_text(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
-    return metrics.order_by_text(rows, "text", "conv_id", "turn", locale="pt")
+    return metrics.with_position(rows, metrics.text_order("text", "conv_id", "turn", locale="pt"))

@@ -168,9 +168,14 @@ def strict_sum(spark, sf_dir):
     """
 with d as (
   select conv_id, regexp_extract_all(lower(text), '(?:[0-9]+[ \\t\\n\\f\\r\\v]*x[ \\t\\n\\f\\r\\v]*)?[0-9][0-9.]*') as terms
-  from conversations)
-select conv_id, count(*) as declared, count(*) filter (where len(terms) = 0) as unread, count(*) > 0 as any_declared
-from d group by conv_id
+  from conversations),
+a as (
+  select conv_id, list_sum(list_transform(terms, lambda e:
+      (case when contains(e, 'x') then cast(trim(split_part(e, 'x', 1)) as bigint) else 1 end)::hugeint
+      * cast(replace(trim(list_extract(string_split(e, 'x'), -1)), '.', '') as bigint)::hugeint))::bigint as amount from d)
+select conv_id, count(*) as declared, count(*) filter (where amount is null) as unread, count(*) > 0 as any_declared,
+  case when count(amount) = count(*) then sum(amount)::bigint end as total
+from a group by conv_id
 """,
 )
 def declared_text_sum(spark, sf_dir):
@@ -181,6 +186,7 @@ def declared_text_sum(spark, sf_dir):
         red.count_declared("text").alias("declared"),
         red.count_unread("text", ok).alias("unread"),
         red.any_declared("text").alias("any_declared"),
+        red.strict_sum("total", "text", ok).alias("total"),
     )
 
 
@@ -207,24 +213,25 @@ def fanout_report(spark, sf_dir):
 @query(
     "full_outer_merge",
     """
-with a as (select cast(doc_id as varchar) as id, lang as name, source, doc_id as line from documents where lang <> 'en'),
+with a as (select cast(doc_id // 3 as varchar) as id, arg_max(lang, doc_id) as name, arg_max(source, doc_id) as source
+           from documents group by 1),
      b as (select cast(doc_id as varchar) as id, case when toxic = 1 then '' else 'labelled' end as name,
-                  cast(quality as varchar) as quality, doc_id as line from labels)
+                  cast(quality as varchar) as quality from labels)
 select coalesce(a.id, b.id) as id, coalesce(nullif(a.name, ''), nullif(b.name, ''), '') as name,
   coalesce(source, '') as source, coalesce(quality, '') as quality from a full join b on a.id = b.id
 """,
 )
 def full_outer_merge(spark, sf_dir):
-    """Documents in other languages than English and labels: each side has keys the other lacks."""
-    a = table(spark, sf_dir, "documents").filter(F.col("lang") != "en").select(
-        F.concat(F.lit(" "), F.col("doc_id").cast("string")).alias("id"), F.col("lang").alias("name"), "source",
-        F.col("doc_id").alias("line"),
+    """Documents, three to a key, and labels: each side has keys the other lacks; ordinals are text, as landed."""
+    a = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit(" "), F.expr("doc_id div 3").cast("string")).alias("id"), F.col("lang").alias("name"), "source",
+        F.col("doc_id").cast("string").alias("line"),
     )
     b = table(spark, sf_dir, "labels").select(
         F.col("doc_id").cast("string").alias("id"),
         F.when(F.col("toxic") == 1, "").otherwise("labelled").alias("name"),
         F.col("quality").cast("string").alias("quality"),
-        F.col("doc_id").alias("line"),
+        F.col("doc_id").cast("string").alias("line"),
     )
     return docs.merge_sources(a, b, "id", ["name"], "line")
 

@@ -1,8 +1,8 @@
 """Every stage of the portfolio job over raw records made from the given tables.
 
 Register: one record per customer; customers in debt come without a key. Measurements: customers with
-urgent orders, filled ones as built area and open ones as land. Surveys: one document per customer
-with low-priority orders, whose counts become fittings and tank texts.
+orders of the first three priorities, filled ones as built area and open ones as land. Surveys: one per
+customer with orders of the other priorities, whose counts become fittings and tank texts.
 """
 
 from __future__ import annotations
@@ -37,14 +37,14 @@ with placed as (
   select o_custkey as id, sum(cast(round(o_totalprice * 100) as bigint)) filter (where o_orderstatus = 'F') as built,
          sum(cast(round(o_totalprice * 100) as bigint)) filter (where o_orderstatus = 'O') as land,
          count(*) filter (where o_orderstatus = 'P') as partial
-  from orders where o_orderpriority = '1-URGENT' group by o_custkey
+  from orders where o_orderpriority < '4' group by o_custkey
 ), measure as (
   select id, built::double / 100 as built, land::double / 100 as land,
          case partial when 0 then 'PROPRIO' when 1 then 'CEDIDO' else 'NAO_INFORMADO' end as status from urgent
 ), low as (
   select o_custkey as id, count(*) filter (where o_orderstatus = 'F') as f,
          count(*) filter (where o_orderstatus = 'O') as o, count(*) filter (where o_orderstatus = 'P') as p
-  from orders where o_orderpriority = '5-LOW' group by o_custkey
+  from orders where o_orderpriority >= '4' group by o_custkey
 ), tank as (
   select id, 'A' as posicao, case when f > 0 then f || ' x 1.000 + ' || o when o > 0 then 'cheia' end as raw,
          case when f > 0 then 2 end as terms, case when f > 0 then f * 1000 + o end as litres from low
@@ -104,7 +104,7 @@ def raw_measures(spark, sf_dir):
     cents, status = scaled("o_totalprice"), F.col("o_orderstatus")
     urgent = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "1-URGENT")
+        .filter(F.col("o_orderpriority") < "4")
         .groupBy("o_custkey")
         .agg(
             F.sum(F.when(status == "F", cents)).alias("built"),
@@ -128,7 +128,7 @@ def raw_surveys(spark, sf_dir):
     status = F.col("o_orderstatus")
     low = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "5-LOW")
+        .filter(F.col("o_orderpriority") >= "4")
         .groupBy("o_custkey")
         .agg(*[F.count_if(status == s.upper()).alias(s) for s in "fop"])
         .select("o_custkey", *[F.col(s).cast("string").alias(s) for s in "fop"])
@@ -403,13 +403,13 @@ def answer_gaps(spark, sf_dir):
     "portfolio_suite",
     """
 with orphans as (
-  select id from (select distinct o_custkey as id from orders where o_orderpriority = '1-URGENT')
+  select id from (select distinct o_custkey as id from orders where o_orderpriority < '4')
   where id not in (select c_custkey from customer where c_acctbal >= 0)
 ), lost as (
-  select id from (select distinct o_custkey as id from orders where o_orderpriority = '5-LOW')
+  select id from (select distinct o_custkey as id from orders where o_orderpriority >= '4')
   where id not in (select c_custkey from customer where c_acctbal >= 0)
 ), unread as (
-  select o_custkey from orders where o_orderpriority = '5-LOW' group by 1
+  select o_custkey from orders where o_orderpriority >= '4' group by 1
   having count(*) filter (where o_orderstatus = 'F') = 0 and count(*) filter (where o_orderstatus = 'O') > 0
 )
 select 'stg_patrimonio' as "table", 'relationships' as kind, (select count(*) from orphans) as failures

@@ -180,11 +180,11 @@ with found as (
       * try_cast(replace(trim(list_extract(string_split(e, 'x'), -1)), '.', '') as bigint)::hugeint) as parts
   from found
 ), fitting as (
-  select *, list_filter(parts, lambda a: a is not null and a <= 9223372036854775807) as fit from amounts
+  select *, case when len(parts) > 0 and len(list_filter(parts, lambda a: a is null or a > 9223372036854775807)) = 0
+                  and list_sum(parts) <= 9223372036854775807 then list_sum(parts)::bigint end as whole from amounts
 )
 select doc_id, nullif(len(terms), 0)::bigint as terms,
-  case when len(fit) > 0 and list_sum(fit) <= 9223372036854775807 then list_sum(fit)::bigint end as total,
-  case when len(terms) = 0 then 'NAO_INTERPRETADO' else 'INTERPRETADO' end as status
+  whole as total, case when whole is null then 'NAO_INTERPRETADO' else 'INTERPRETADO' end as status
 from fitting
 """,
 )

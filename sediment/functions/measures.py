@@ -119,14 +119,14 @@ def with_quantity(
 ) -> DataFrame:
     """Add term count, total and reading status of a quantity text, as one narrow row expression.
 
-    A text counts as read when at least one term is found; with ``strict`` it must hold nothing
-    but terms, plus signs and unit words.
+    A text counts as read when at least one term is found and the total of all terms fits; one that
+    does not fit leaves no total. With ``strict`` it must hold nothing but terms, plus signs and unit words.
     """
     text = F.lower(F.col(col))
     found = F.regexp_extract_all(text, F.lit(QUANTITY_TERM), F.lit(0))
     if strict:
         found = F.when(text.rlike(f"^(?:(?>{QUANTITY_TERM})|{QUANTITY_FILLER})*+\\z"), found)
-    amounts = F.filter(F.transform(F.col("_terms"), _term_amount), lambda a: a.isNotNull())
+    amounts = F.transform(F.col("_terms"), _term_amount)
     return (
         df.withColumn("_terms", found)
         .withColumn("_amounts", amounts)
@@ -139,15 +139,15 @@ def with_quantity(
                 ),
             }
         )
-        .withColumn(status, quantity_status(col, terms))
+        .withColumn(status, quantity_status(col, total))
         .drop("_terms", "_amounts")
     )
 
 
-def quantity_status(raw: Column | str, terms: Column | str) -> Column:
+def quantity_status(raw: Column | str, total: Column | str) -> Column:
     return (
         F.when(_col(raw).isNull(), STATUS_UNDECLARED)
-        .when(_col(terms).isNull(), STATUS_UNPARSED)
+        .when(_col(total).isNull(), STATUS_UNPARSED)
         .otherwise(STATUS_PARSED)
     )
 

@@ -57,10 +57,14 @@ def nest_collections(
 
 
 def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the highest ordinal of each non-blank key, by an aggregation that combines map-side."""
+    """The row with the highest ordinal of each non-blank key, by an aggregation that combines map-side.
+
+    Ordinals that are text, as landing leaves them, compare as numbers.
+    """
     rest = [c for c in df.columns if c != key]
+    ordinal = F.col(order).try_cast("bigint") if dict(df.dtypes)[order] == "string" else F.col(order)
     kept = df.withColumn(key, F.trim(key)).filter(F.col(key) != "")
-    best = kept.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
+    best = kept.groupBy(key).agg(F.max_by(F.struct(*rest), ordinal).alias("_row"))
     return best.select(key, "_row.*")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sediment.functions.measures import half_up
 from sediment.functions.text import _col
-from sediment.session import shared_dir
+from sediment.session import scratch
 
 
 def mean_ratio(index: Column | str, digits: int = 2) -> Column:
@@ -155,23 +155,52 @@ def maximum(df: DataFrame, col: str, name: str = "maximum") -> DataFrame:
     return df.agg(F.max(col).alias(name))
 
 
+def key_order(*keys: str) -> list[Column]:
+    return [F.col(k).asc_nulls_last() for k in keys]
+
+
+def measure_order(measure: str, tie: str) -> list[Column]:
+    return [F.col(measure).desc_nulls_last(), F.col(tie).asc()]
+
+
+def text_order(col: str, *ties: str, locale: str = "pt") -> list[Column]:
+    return [F.collate(F.col(col), locale).asc_nulls_last(), *key_order(*ties)]
+
+
 def order_by(df: DataFrame, *keys: str) -> DataFrame:
     """Ascending sort on several keys, missing values last.
 
     End the keys with a unique one when a leading value may be frequent: range partitioning can
     then split that value over many tasks.
     """
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return df.orderBy(*key_order(*keys))
 
 
 def order_by_measure(df: DataFrame, measure: str, tie: str) -> DataFrame:
     """Highest measure first, missing measures last, ties by key."""
-    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie).asc())
+    return df.orderBy(*measure_order(measure, tie))
 
 
 def order_by_text(df: DataFrame, col: str, *ties: str, locale: str = "pt") -> DataFrame:
     """Sort by the rules of a language instead of by code point."""
-    return df.orderBy(F.collate(F.col(col), locale).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties])
+    return df.orderBy(*text_order(col, *ties, locale=locale))
+
+
+def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Number the rows from 1 in the given order, which should have no ties.
+
+    Rows are dealt into ranges of the order and stored; each range is numbered by itself and moved up by the size of
+    those before it, so no task sees more than one range.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    path = scratch(df.sparkSession, "positions")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_range", before.alias("_before"))  # one row for each range
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.join(offsets, "_range").withColumn(name, F.col("_before") + inside).drop("_range", "_before")
 
 
 def top_k(df: DataFrame, measure: str, k: int, *ties: str) -> DataFrame:
@@ -184,13 +213,14 @@ def group_median(df: DataFrame, by: Sequence[str], value: str, name: str = "medi
 
     Equal values are counted first; the (group, value) counts are range-partitioned and cut into
     chunks of one partition each. Chunk totals locate the chunks that hold the two middle ranks, and
-    only those chunks are ranked value by value.
+    only those chunks are ranked value by value. The counts are stored in the shared scratch folder.
     """
-    shared_dir(df.sparkSession)
     keys = list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     # The range bounds come from sampling, so the layout is written down before it is read twice.
-    laid_out = counts.repartitionByRange(*keys, value).withColumn("_chunk", F.spark_partition_id()).checkpoint()
+    path = scratch(df.sparkSession, "median")
+    counts.repartitionByRange(*keys, value).withColumn("_chunk", F.spark_partition_id()).write.parquet(path)
+    laid_out = df.sparkSession.read.parquet(path)
 
     chunks = laid_out.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_size"))
     ranks = (

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sediment.functions.text import clean_text, safe_int, safe_key, valid_key
+from sediment.session import scratch
 
 # Fixed value: the reason written to quarantined rows.
 REASON_INVALID_KEY = "ID_PREDIO_AUSENTE_OU_INVALIDO"
@@ -54,8 +56,14 @@ def label_rows(df: DataFrame, rule: KeyRule, name: str = "record_kind") -> DataF
 
 
 def split_valid(df: DataFrame, rule: KeyRule) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Good, bad and structural rows; every input row is in exactly one of them."""
-    labelled = label_rows(df, rule, "_kind")
+    """Good, bad and structural rows; every input row is in exactly one of them.
+
+    The input is evaluated once: rows are stored by kind in the shared scratch folder and read from there.
+    """
+    path = scratch(df.sparkSession, "split")
+    label_rows(df, rule, "_kind").write.partitionBy("_kind").parquet(path)
+    schema = StructType([*df.schema.fields, StructField("_kind", StringType())])
+    labelled = df.sparkSession.read.schema(schema).parquet(path)
     return tuple(labelled.filter(F.col("_kind") == k).drop("_kind") for k in (GOOD, BAD, STRUCTURAL))
 
 

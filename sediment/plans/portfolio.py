@@ -242,19 +242,18 @@ def dims(entities: DataFrame) -> dict[str, DataFrame]:
         "nome_oficial", "tipo_imovel", "propriedade", "categoria_funcional", "classificacao_original",
         "responsavel_manutencao",
     ]
-    known = entities.filter(F.col(KEY).isNotNull())
-    dated = entities.filter(F.col(DATE).isNotNull())
     return {
-        "dim_imovel": dim_entity(known, KEY, "imovel_sk", attributes),
+        "dim_imovel": dim_entity(entities, KEY, "imovel_sk", attributes),
         "dim_localidade": dim_place(entities, "localidade_sk", PLACE),
-        "dim_tempo": dim_date(dated, DATE, "data_sk", "data", "ano", "mes", "trimestre"),
+        "dim_tempo": dim_date(entities, DATE, "data_sk", "data", "ano", "mes", "trimestre"),
     }
 
 
 def build_fact(entities: DataFrame, measures: DataFrame, items: DataFrame, capacity: DataFrame) -> DataFrame:
     """One row per entity and date. All three attachments share the (entity, date) partitioning, and
-    the surrogate keys are computed from the row, so no dimension is looked up here."""
-    keyed = entities.filter(F.col(KEY).isNotNull() & F.col(DATE).isNotNull()).select(
+    the surrogate keys are computed from the row, so no dimension is looked up here. A row without key or
+    date stays, for the expectations to see."""
+    keyed = entities.select(
         KEY, DATE,
         surrogate_key(KEY).alias("imovel_sk"),
         surrogate_key(*PLACE.values()).alias("localidade_sk"),

@@ -19,7 +19,7 @@ from sediment.sources.provenance import (
     RECORD_NUMBER,
     file_path,
     _as_list,
-    file_sha256,
+    file_hashes,
     relative_to,
     with_provenance,
 )
@@ -163,12 +163,15 @@ def _lines_with_effect(spark: SparkSession, paths, sep: str) -> DataFrame:
 def _block_table(lines: DataFrame) -> DataFrame:
     """Per block: quote state at entry, records begun earlier in the file, and the last earlier block
     in which a record begins. Lines travel without their text here."""
-    inside = _with_state(lines.drop("_text"), BLOCK, "_pos")
+    inside = _with_state(lines.withColumn("_length", F.length("_text") + 1).drop("_text"), BLOCK, "_pos")
     begun = {f"_begun{e}": F.count_if(~_open_given(F.lit(e))) for e in (0, 1)}
+    first = F.min(F.when(~_open_given(F.lit(1)), F.col("_pos"))).over(Window.partitionBy(*BLOCK))
+    inside = inside.withColumn("_in_front", F.coalesce(F.col("_pos") < first, F.lit(True)))
     summary = inside.groupBy(*BLOCK).agg(
         F.sum("_flips").alias("_total"),
         F.max_by("_anchor", F.when(F.col("_sets"), F.col("_pos"))).alias("_last"),
         *[c.alias(name) for name, c in begun.items()],
+        F.coalesce(F.sum(F.when(F.col("_in_front"), F.col("_length"))), F.lit(0)).alias("_front"),
     )
     effects = summary.withColumns(
         {
@@ -180,12 +183,15 @@ def _block_table(lines: DataFrame) -> DataFrame:
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     opened = _with_state(effects, ["_file"], "_block").withColumn("_entry", _open_given(F.lit(0)))
     counted = opened.withColumn("_n", F.when(F.col("_entry"), F.col("_begun1")).otherwise(F.col("_begun0")))
-    return counted.select(
+    placed = counted.select(
         *BLOCK,
         F.col("_entry").cast("int").alias("_entry"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.last(F.when(F.col("_n") > 0, F.col("_block")), ignorenulls=True).over(before).alias("_owner"),
+        F.when(F.col("_entry"), F.col("_front")).otherwise(0).alias("_front"),
     )
+    # What later blocks add to the last record of a block, so a record's length is known before it is gathered.
+    return placed.withColumn("_added", F.sum("_front").over(Window.partitionBy("_file", "_owner"))).drop("_front")
 
 
 def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: int) -> DataFrame:
@@ -200,12 +206,10 @@ def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: in
             "_open", _open_given(F.col("_entry"))
         )
         ends_open = F.when(F.col("_open"), F.col("_o")).otherwise(F.col("_c"))
+        piece = F.when(F.col("_ends_open"), F.col("_text")).otherwise(F.regexp_replace("_text", LINE_END, ""))
         return state.withColumns(
             {"_local": F.sum((~F.col("_open")).cast("bigint")).over(upto), "_ends_open": ends_open}
-        ).withColumn(
-            "_piece",
-            F.when(F.col("_ends_open"), F.col("_text")).otherwise(F.regexp_replace("_text", LINE_END, "")),
-        )
+        ).withColumn("_piece", _within_limit(piece, F.coalesce("_added", F.lit(0)), record_limit))
 
     records = (
         placed(blocks)
@@ -214,18 +218,17 @@ def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: in
         .agg(_in_order("_pos").alias("_text"), F.max_by("_ends_open", "_pos").alias("_ends_open"))
     )
     # The front of a block may finish a record begun in an earlier block: it moves to that block.
-    # A quote that is never closed is noticed by the running length, before anything is gathered.
+    # A quote that is never closed is noticed by the length of all fronts, before anything is gathered.
     fronts = (
         placed(blocks.filter(F.col("_entry") == 1))
         .filter(F.col("_local") == 0)
-        .withColumn("_length", F.sum(F.length("_text") + 1).over(upto))
-        .withColumn("_piece", _within_limit(F.col("_piece"), F.col("_length"), record_limit))
         .groupBy("_file", F.col("_owner").alias("_block"))
         .agg(_in_order("_block", "_pos").alias("_rest"))
     )
     whole = F.when(
         F.col("_ends_open") & F.col("_rest").isNotNull(), F.concat("_text", F.lit("\n"), "_rest")
     ).otherwise(F.col("_text"))
+    whole = _within_limit(whole, F.length(whole), record_limit)  # the same limit for records inside a block
     return records.join(fronts, BLOCK, "left").select("_file", "_record", whole.alias("_text"))
 
 
@@ -302,7 +305,8 @@ def read_delimited_raw(
 
     Records shorter than the widest are padded with empty text. When records span lines and no
     ``width`` is given, one more pass over the assembled records finds it, so give it for large
-    files of that kind. Without ``content_hash`` each file's own hash is joined.
+    files of that kind: it is the number of columns, and a record with more fields stops the job.
+    Without ``content_hash`` each file's own hash is joined.
     """
     if multiline is None:
         multiline, widest = line_profile(spark, paths, sep)
@@ -311,6 +315,10 @@ def read_delimited_raw(
     records = read_records(spark, paths, sep, multiline)
     if width is None:
         width = records.agg(F.max(F.size("fields"))).first()[0] or 0
+    message = F.concat(F.lit("record "), F.col("_record"), F.lit(f" has more than {width} fields in "), F.col("_file"))
+    records = records.withColumn(
+        "fields", F.when(F.size("fields") <= width, F.col("fields")).otherwise(F.raise_error(message).cast("array<string>"))
+    )
     cells = [
         F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(c)
         for i, c in enumerate(positional_columns(width))
@@ -319,7 +327,7 @@ def read_delimited_raw(
     origin = relative_to(F.col("_file"), root)
     if content_hash is not None:
         return with_provenance(numbered, version, content_hash, origin).drop("_file")
-    hashes = file_sha256(spark, paths).select(F.col("path").alias("_file"), F.col("sha256").alias("_sha"))
+    hashes = file_hashes(spark, paths).select(F.col("path").alias("_file"), F.col("hash").alias("_sha"))
     landed = with_provenance(numbered.join(hashes, "_file"), version, F.col("_sha"), origin)
     return landed.drop("_file", "_sha")
 
@@ -329,14 +337,15 @@ def promote_header(
 ) -> DataFrame:
     """Name the positional columns after one record and keep the records below it, blank ones dropped.
 
-    Only the header record comes to the driver. Columns without a name are left out.
+    Files that differ in that record stop the job. Columns without a name keep the name of their position.
+    Only distinct header records come to the driver, two at most.
     """
     positions = [c for c in df.columns if c.startswith(POSITION_PREFIX)]
     number = F.col(ordinal).cast("bigint")
-    header = df.filter(number == header_row).select(*[F.trim(c).alias(c) for c in positions]).first()
-    if header is None:
-        raise ValueError(f"no record {header_row} to take names from")
-    names = {c: header[c] for c in positions if header[c]}
+    headers = df.filter(number == header_row).select(*[F.trim(c).alias(c) for c in positions]).distinct().take(2)
+    if len(headers) != 1:
+        raise ValueError(f"files differ in record {header_row}" if headers else f"no record {header_row} to take names from")
+    names = {c: headers[0][c] or c for c in positions}
     repeated = {n for n in names.values() if list(names.values()).count(n) > 1}
     if repeated:
         raise ValueError(f"header names repeat: {sorted(repeated)}")
@@ -361,7 +370,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     listed = files.select(name.alias("file"), suffix.alias("format"), "bytes")
     lines = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{csv,CSV}")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .text(root)
         .groupBy(file_path().alias("_path"))
         .agg(F.count(F.lit(1)).alias("_lines"))

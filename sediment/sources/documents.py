@@ -11,7 +11,7 @@ from sediment.sources.provenance import (
     DOCUMENT,
     _as_list,
     file_path,
-    file_sha256,
+    file_hashes,
     relative_to,
     with_provenance,
 )
@@ -33,5 +33,5 @@ def read_document_raw(
     origin = relative_to(F.col("_file"), root)
     if content_hash is not None:
         return with_provenance(text, version, content_hash, origin).drop("_file")
-    hashes = file_sha256(spark, paths).select(F.col("path").alias("_file"), F.col("sha256").alias("_sha"))
+    hashes = file_hashes(spark, paths).select(F.col("path").alias("_file"), F.col("hash").alias("_sha"))
     return with_provenance(text.join(hashes, "_file"), version, F.col("_sha"), origin).drop("_file", "_sha")

@@ -6,11 +6,11 @@ import re
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from sediment.sources.files import content_size, qualified
+from sediment.sources.files import qualified
 
 # Names of the technical columns and of the positional and document columns.
 ORIGIN = "_arquivo_origem"
@@ -25,8 +25,9 @@ POSITION_PREFIX = "col_"
 SCHEME = "^[A-Za-z0-9+.-]+:/+|^/+"
 NESTED = (ArrayType, MapType, StructType)
 
-# Largest file that is read as one value; Spark holds no value above 2 GB.
-WHOLE_FILE_LIMIT = 1 << 30
+# Name of the definition that file hashes follow; another definition needs another name.
+HASH_NAME = "lines-1:"
+HASH_MODULUS = (1 << 31) - 1
 
 
 def file_path() -> Column:
@@ -59,39 +60,32 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return _files(spark, paths).select(file_path().alias("path"), "length", "modificationTime")
 
 
-def file_sha256(spark: SparkSession, paths: str | Sequence[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """``path, length, sha256`` of each file, hashed in parallel over files.
+def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, length, hash`` of each file with any content: one definition for all sizes, in one pass.
 
-    A file above the limit cannot be one value: it gets a fingerprint of its lines and their
-    positions instead, marked by the prefix ``lines:``.
+    Two hashes of every line are summed, plain and multiplied by the number of the line in its file, and the size
+    in bytes and the number of lines go in as well. Sums are made per file block and put together from the block
+    table, so neither block size nor number of cores matters, and no file has to be one value.
     """
-    exact = (
-        _files(spark, paths)
-        .filter(F.col("length") <= limit)
-        .select(file_path().alias("path"), "length", F.sha2(F.col("content"), 256).alias("sha256"))
-    )
-    if content_size(spark, _as_list(paths))[0] <= limit:
-        return exact
-    listed = list_files(spark, paths).filter(F.col("length") > limit)
-    large = [r[0] for r in listed.select(plain_path(F.col("path"))).collect()]
-    if not large:
-        return exact
-    in_task = F.monotonically_increasing_id()
-    lines = spark.read.option("lineSep", "\n").text(large).select(
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(_as_list(paths)).select(
         file_path().alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_block_start").alias("_block"),
-        in_task.alias("_pos"),
-        "value",
+        F.monotonically_increasing_id().alias("_pos"),
+        *[F.pmod(F.xxhash64(F.lit(seed), "value"), F.lit(HASH_MODULUS)).alias(f"_h{seed}") for seed in (1, 2)],
     )
-    # Positions count from the first line of the block, wherever the task that read it began.
-    starts = lines.groupBy("path", "_block").agg(F.min("_pos").alias("_first"))
-    placed = lines.join(starts, ["path", "_block"])
-    row = F.struct("_block", (F.col("_pos") - F.col("_first")).alias("_at"), "value")
-    marks = placed.groupBy("path", "length").agg(_fingerprint(row).alias("_mark"))
-    return exact.unionByName(
-        marks.select("path", "length", F.concat(F.lit("lines:"), F.sha2("_mark", 256)).alias("sha256"))
+    wide = lambda c: c.cast("decimal(38,0)")
+    sums = {f"_s{k}": F.sum(wide(F.col(f"_h{k}"))) for k in (1, 2)}
+    placed = {f"_p{k}": F.sum(wide(F.col(f"_h{k}")) * wide(F.col("_pos"))) for k in (1, 2)}
+    blocks = lines.groupBy("path", "length", "_block").agg(
+        F.count(F.lit(1)).alias("_lines"), F.min("_pos").alias("_first"), *[c.alias(n) for n, c in {**sums, **placed}.items()]
     )
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first"))
+    moved = [F.sum(wide(F.col(f"_p{k}") + wide(F.col(f"_s{k}")) * wide(F.col("_offset")))).cast("string") for k in (1, 2)]
+    plain = [F.sum(f"_s{k}").cast("string") for k in (1, 2)]
+    mark = F.concat_ws(":", F.col("length").cast("string"), F.sum("_lines").cast("string"), *plain, *moved)
+    return blocks.groupBy("path", "length").agg(F.concat(F.lit(HASH_NAME), F.sha2(mark, 256)).alias("hash"))
 
 
 def _fingerprint(*row: Column) -> Column:
@@ -121,20 +115,22 @@ def frame_fingerprint(df: DataFrame) -> str:
 
 
 def source_hashes(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """Content hash of each source, all in one pass: the SHA-256 of a single file, or a mark over
-    the names and hashes of the files of a folder."""
+    """Content hash of each source, all in one pass: that of a single file, or a mark over the hashes of
+    the files of a folder, whatever their names."""
     named = {path: _bare(qualified(spark, path)) for path in paths}
-    files = file_sha256(spark, list(named)).withColumn("path", F.regexp_replace(plain_path(F.col("path")), SCHEME, ""))
-    known = F.array(*[F.lit(bare) for bare in named.values()])
-    inside = F.filter(known, lambda s: (F.col("path") == s) | F.startswith(F.col("path"), F.concat(s, F.lit("/"))))
-    below = F.substring(F.col("path"), F.length("_source") + 1, F.length("path"))
+    files = file_hashes(spark, list(named)).withColumn("path", F.regexp_replace(plain_path(F.col("path")), SCHEME, ""))
+    # A file belongs to the source that is its path or one of the folders above it: an equi-join on those.
+    steps = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    sources = spark.createDataFrame([(bare,) for bare in set(named.values())], "_source string")
     marks = (
-        files.withColumn("_source", F.explode(inside))
+        files.select("hash", F.explode(above).alias("_source"))
+        .join(sources, "_source")
         .groupBy("_source")
         .agg(
             F.count(F.lit(1)).alias("files"),
-            F.max("sha256").alias("only"),
-            F.sha2(_fingerprint(below, F.col("sha256")), 256).alias("mark"),
+            F.max("hash").alias("only"),
+            F.sha2(_fingerprint(F.col("hash")), 256).alias("mark"),
         )
         .collect()
     )

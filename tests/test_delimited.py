@@ -1,5 +1,4 @@
 import csv
-import hashlib
 import io
 import random
 
@@ -105,7 +104,7 @@ def test_landing_pads_and_keeps_every_record(spark, tmp_path):
         ("Title", "", "", "", "1"), ("", "", "", "", "2"), ("", "", "", "", "3"), ("Key", "Name ", "", "", "4"),
         ("1", 'say "x"', "", "", "5"), ("2", "b", "c", "d", "6"), ("", "", "", "", "7"), ("3", "z", "", "", "8"),
     ]
-    assert {r["_hash_arquivo"] for r in got} == {hashlib.sha256(path.read_bytes()).hexdigest()}
+    assert {r["_hash_arquivo"] for r in got} == {pv.source_hash(spark, str(path))}
     assert {r["_arquivo_origem"] for r in got} == {"sub dir/2026-08-17.csv"}
     assert len({r["_ingerido_em"] for r in got}) == 1
 
@@ -114,8 +113,36 @@ def test_promote_header_drops_structure_and_blank_rows(spark, tmp_path):
     root, path = landing(tmp_path)
     raw = d.read_delimited_raw(spark, str(path), "v", root=str(root))
     named = d.promote_header(raw, 4)
-    assert named.columns == ["Key", "Name"]
-    assert sorted(map(tuple, named.collect())) == [("1", 'say "x"'), ("2", "b"), ("3", "z")]
+    assert named.columns == ["Key", "Name", "col_03", "col_04"]
+    assert sorted(map(tuple, named.collect())) == [("1", 'say "x"', "", ""), ("2", "b", "c", "d"), ("3", "z", "", "")]
+
+
+def test_promote_header_keeps_unnamed_columns_and_refuses_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id;;z\n;only;\n", encoding="utf-8")
+    raw = d.read_delimited_raw(spark, str(tmp_path), "v")
+    assert [tuple(r) for r in d.promote_header(raw, 1).collect()] == [("", "only", "")]
+    (tmp_path / "b.csv").write_text("z;;id\n1;2;3\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="differ"):
+        d.promote_header(d.read_delimited_raw(spark, str(tmp_path), "v"), 1)
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_a_record_wider_than_asked_stops_the_job(spark, tmp_path, multiline):
+    (tmp_path / "a.csv").write_text("1;2;3;4;5\n1;2\n", encoding="utf-8")
+    read = lambda width: d.read_delimited_raw(spark, str(tmp_path), "v", multiline=multiline, width=width)
+    assert read(6).filter("col_05 = '5' and col_06 = ''").count() == 1
+    with pytest.raises(Exception, match="more than 3 fields"):
+        read(3).collect()
+
+
+def test_record_limit_acts_alike_at_any_block_size(spark, tmp_path, blocks):
+    path = tmp_path / "long.csv"
+    path.write_text("1;short\n2;\"" + "line of text\n" * 300 + "\"\n3;after\n", encoding="utf-8")
+    for size in (1 << 27, 500, 64):
+        blocks(size)
+        assert len(by_spark(spark, path, multiline=True, record_limit=4000)[1][1]) == 3900
+        with pytest.raises(Exception, match="quote not closed"):
+            d.read_records(spark, str(path), multiline=True, record_limit=2000).collect()
 
 
 def test_exclude_keys_keeps_structure(spark):
@@ -126,16 +153,40 @@ def test_exclude_keys_keeps_structure(spark):
 def test_hashes_and_marks(spark, tmp_path):
     for name in ("a.csv", "b.csv"):
         (tmp_path / name).write_text(f"{name}\nx\n", encoding="utf-8")
-    got = {r["path"].rsplit("/", 1)[-1]: r["sha256"] for r in pv.file_sha256(spark, str(tmp_path)).collect()}
-    assert got == {n: hashlib.sha256((tmp_path / n).read_bytes()).hexdigest() for n in ("a.csv", "b.csv")}
-    marks = [r["sha256"] for r in pv.file_sha256(spark, str(tmp_path), limit=1).collect()]
-    assert len(set(marks)) == 2 and all(m.startswith("lines:") for m in marks)
+    got = {r["path"].rsplit("/", 1)[-1]: r["hash"] for r in pv.file_hashes(spark, str(tmp_path)).collect()}
+    assert len(set(got.values())) == 2 and all(m.startswith(pv.HASH_NAME) for m in got.values())
     assert pv.source_hash(spark, str(tmp_path / "a.csv")) == got["a.csv"]
     whole = pv.source_hash(spark, str(tmp_path))
     (tmp_path / "b.csv").write_text("b.csv\ny\n", encoding="utf-8")
     assert pv.source_hash(spark, str(tmp_path)) != whole
 
 
+def test_file_hash_follows_content_and_not_blocks(spark, tmp_path, blocks):
+    text = "".join(f"{i};näme {i % 7}\r\n" for i in range(500))
+    variants = {
+        "same": text.encode(), "bom": text.encode("utf-8-sig"), "cut": text.encode()[:-1], "lf": text.replace("\r", "").encode(),
+        "swap": text.replace("1;", "X;", 1).replace("2;", "1;", 1).replace("X;", "2;", 1).encode(), "twice": text.encode() * 2,
+        "moved": "".join(reversed(text.splitlines(keepends=True))).encode(), "bytes": b"\xff\xfe\n" + text.encode(),
+    }
+    seen = {}
+    for size in (1 << 27, 1000, 77):
+        blocks(size)
+        for name, data in variants.items():
+            (tmp_path / name).write_bytes(data)
+            mark = pv.source_hash(spark, str(tmp_path / name))
+            assert seen.setdefault(name, mark) == mark
+    assert len(set(seen.values())) == len(variants)
+
+
+def test_folder_hash_does_not_see_part_names(spark, tmp_path):
+    for folder, names in (("v1", ("p-1", "p-2")), ("v2", ("x", "a"))):
+        (tmp_path / folder).mkdir()
+        for name, text in zip(names, ("1;a\n", "2;b\n")):
+            (tmp_path / folder / name).write_text(text)
+    marks = pv.source_hashes(spark, [str(tmp_path / "v1"), str(tmp_path / "v2")])
+    assert len(set(marks.values())) == 1
+
+
 def test_frame_fingerprint_ignores_order_and_layout(spark):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("m"))
     mark = pv.frame_fingerprint(df)
@@ -148,9 +199,11 @@ def test_inventory_counts_lines_of_csv_only(spark, tmp_path):
     root, _ = landing(tmp_path)
     (root / "doc.json").write_text("{}\n{}\n", encoding="utf-8")
     (root / "empty.csv").write_text("", encoding="utf-8")
+    (root / "b.Csv").write_text("1\n2\n", encoding="utf-8")
     got = {r["file"]: (r["format"], r["bytes"] > 0, r["physical_lines"]) for r in d.file_inventory(spark, str(root)).collect()}
     assert got == {
         "doc.json": ("JSON", True, None), "sub dir/2026-08-17.csv": ("CSV", True, 8), "empty.csv": ("CSV", False, 0),
+        "b.Csv": ("CSV", True, 2),
     }
 
 
@@ -160,7 +213,7 @@ def test_document_text_is_unchanged(spark, tmp_path):
     row = read_document_raw(spark, str(tmp_path / "d.json"), "v1", root=str(tmp_path)).first()
     assert row["conteudo_json"] == text
     assert (row["_arquivo_origem"], row["_versao_fonte"]) == ("d.json", "v1")
-    assert row["_hash_arquivo"] == hashlib.sha256(text.encode("utf-8")).hexdigest()
+    assert row["_hash_arquivo"] == pv.source_hash(spark, str(tmp_path / "d.json"))
 
 
 def test_separator_is_checked():

@@ -81,10 +81,11 @@ def test_quantity_texts(spark, strict):
     assert got[None] == (None, None, m.STATUS_UNDECLARED)
 
 
-def test_quantity_too_large_is_null_not_fatal(spark):
-    df = spark.createDataFrame([("99999999999999999999",), ("9223372036854775807 + 1",)], "raw string")
+def test_quantity_too_large_is_null_unread_and_not_fatal(spark):
+    texts = ["99999999999999999999", "9223372036854775807 + 1", "9000000000000000000 x 3 + 5", "5 + 99999999999999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
     got = [(r["total"], r["status"]) for r in m.with_quantity(df, "raw").collect()]
-    assert got == [(None, m.STATUS_PARSED), (None, m.STATUS_PARSED)]
+    assert got == [(None, m.STATUS_UNPARSED)] * 4
 
 
 def brute_quantity(text):

@@ -26,7 +26,7 @@ def test_quarantine_and_split(spark):
     rule = KeyRule("k", "n", "line")
     got = rows(quarantine(df, rule, {"line": "line"}, {"key": "k", "name": "n"}), "line")
     assert [r[:3] for r in got] == [(6, None, "b"), (7, "12\n", "c"), (12, None, "e")]
-    good, bad, structural = split_valid(df, rule)
+    good, bad, structural = split_valid(df.repartition(2), rule)
     assert (good.count(), bad.count(), structural.count()) == (3, 3, 6)
 
 
@@ -202,3 +202,21 @@ def test_suite_counts_failures_and_gate_raises(spark):
     with pytest.raises(q.ExpectationsFailed, match="t.k unique: 1"):
         q.gate(results)
     q.gate(results.filter("status = 'pass'"))
+
+
+def test_positions_number_the_order(spark):
+    from sediment.operators import metrics
+
+    rows = [(i, [None, "é", "e", "z", "f"][i % 5]) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, t string").repartition(7)
+    got = metrics.with_position(df, metrics.text_order("t", "i")).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(1, 201))
+    rank = {"e": 0, "é": 1, "f": 2, "z": 3, None: 4}
+    assert [(r.i, r.t) for r in got] == sorted(rows, key=lambda r: (rank[r[1]], r[0]))
+
+
+def test_last_row_wins_by_number_of_a_landed_ordinal(spark):
+    from sediment.operators import documents
+
+    df = spark.createDataFrame([("k", "nine", "9"), ("k", "ten", "10"), (" k ", "two", "2")], "key string, v string, n string")
+    assert documents.latest_per_key(df, "key", "n").first().v == "ten"

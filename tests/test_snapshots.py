@@ -136,6 +136,24 @@ def test_stream_lands_arrivals_once_and_in_order(spark, tmp_path, register):
     assert register.current().count() == 4
 
 
+def test_folder_lands_only_when_it_is_complete(spark, tmp_path, register):
+    raw, checkpoint = tmp_path / "raw", f"{tmp_path}/checkpoint"
+    (raw / "2026-08-01").mkdir(parents=True)
+    read = ing.delimited_reader(spark, str(raw))
+
+    def run():
+        stream_ingest(spark, str(raw), register, checkpoint, read, folders=True).awaitTermination()
+        return [(c.version, c.label, c.rows) for c in register.commits()]
+
+    (raw / "2026-08-01" / "part-1.csv").write_text("1;a\n")
+    assert run() == []
+    (raw / "2026-08-01" / "part-2.csv").write_text("2;b\n")
+    assert run() == []
+    (raw / "2026-08-01.complete").write_text("yes")
+    assert run() == [(0, "2026-08-01", 2)]
+    assert run() == [(0, "2026-08-01", 2)]
+
+
 def test_replayed_stream_batch_is_a_no_op(spark, tmp_path, register):
     raw = tmp_path / "raw"
     snapshot(raw, "a", "ab")
@@ -149,6 +167,10 @@ def test_layer_is_replaced_whole(spark, tmp_path):
     write_layer(spark.range(5), str(tmp_path), "t")
     write_layer(spark.range(3), str(tmp_path), "t")
     assert read_layer(spark, str(tmp_path), "t").count() == 3
+    write_layer(spark.range(4), str(tmp_path), "t")
+    kept = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("rows-")]
+    assert len(kept) == 2 and read_layer(spark, str(tmp_path), "t").count() == 4
+    write_layer(spark.range(3), str(tmp_path), "t")
     broken = spark.range(5).select(F.raise_error(F.lit("boom")).cast("bigint").alias("id"))
     with pytest.raises(Exception, match="boom"):
         write_layer(broken, str(tmp_path), "t")
