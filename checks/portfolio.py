@@ -7,16 +7,20 @@ customer with orders of the other priorities, whose counts become fittings and t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.registry import query
 from sediment.functions.measures import format_decimal, from_scaled, scaled
+from sediment.operators import metrics
 from sediment.operators import quality as q
 from sediment.operators.documents import nest_items
 from sediment.plans import portfolio as p
 from sediment.plans.order_star import table
 from sediment.session import scratch
 from sediment.sources.layers import write_layer
+from sediment.sources.snapshots import SnapshotTable
 from sediment.sources.provenance import DOCUMENT, ORIGIN, RECORD_NUMBER, VERSION
 
 DAY = "2001-08-01"
@@ -441,3 +445,145 @@ def portfolio_suite(spark, sf_dir):
         store(name, df)
     results = q.run_suite(tables, p.expectations())
     return results.filter(F.col("status") == q.FAIL).select("table", "kind", "failures")
+
+
+# --- the whole job, from text files to answers -----------------------------------------------------
+
+PARTS = 4  # files of each register snapshot
+SURVEYS_PER_DOCUMENT = 1000
+PREAMBLE = [["Cadastro"], ["Nota"], [], ["ID Prédio", "Nome Oficial", "Tipo de Imóvel", "", "Comarca", "", "", "Cidade", "UF"]]
+SNAPSHOTS = {"2001-07-01": ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"], DAY: None}
+
+# In these files every tank text can be read and only customers with a key are measured, so the gate lets them pass.
+JOB_SQL = BASE_SQL.replace("then 'cheia' end", "then o || ' litros' end").replace(
+    "case when f > 0 then 2 end as terms, case when f > 0 then f * 1000 + o end",
+    "case when f > 0 then 2 when o > 0 then 1 end as terms, case when f > 0 then f * 1000 + o when o > 0 then o end",
+)
+
+
+def write_parts(rows, path, number):
+    """Semicolon-separated files, each with four records in front: title, note, blank and header."""
+    spark, columns = rows.sparkSession, [c for c in rows.columns if c.startswith("col_")]
+    rows = rows.select(F.pmod(number, F.lit(PARTS)).cast("int").alias("part"), number.cast("bigint").alias("at"), *columns)
+    front = [(k, n - 10, *(cells + [""] * len(columns))[: len(columns)]) for k in range(PARTS) for n, cells in enumerate(PREAMBLE)]
+    both = rows.unionByName(spark.createDataFrame(front, rows.schema))
+    both.repartition("part").sortWithinPartitions("part", "at").drop("at").write.options(
+        sep=";", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue=""
+    ).partitionBy("part").csv(path)
+    return path
+
+
+def job_files(spark, sf_dir):
+    """Two register snapshots, measurements and surveys as files below a fresh folder."""
+    root = scratch(spark, "job-raw")
+    register = raw_register(spark, sf_dir)
+    number = F.col(RECORD_NUMBER).cast("bigint")
+    snapshots = []
+    for label, segments in SNAPSHOTS.items():
+        rows = register if segments is None else register.filter(F.col("col_04").isin(segments))
+        snapshots.append(write_parts(rows, f"{root}/imoveis/{label}", number))
+    keyed = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("col_01"))
+    areas = raw_measures(spark, sf_dir).join(keyed, "col_01")
+    measured = write_parts(areas, f"{root}/patrimonio", F.col("col_01").cast("bigint"))
+    known = keyed.withColumnRenamed("col_01", "id_predio")
+    one = F.from_json(F.replace(DOCUMENT, F.lit('"cheia"'), F.lit('"READ"')), "vistorias array<string>").getField("vistorias")
+    surveys = raw_surveys(spark, sf_dir).select(F.explode(one).alias("survey"))
+    surveys = surveys.withColumn("id_predio", F.get_json_object("survey", "$.id_predio")).join(known, "id_predio")
+    basins = F.get_json_object("survey", "$.loucas.vasos_declarados")
+    readable = F.replace("survey", F.lit('"READ"'), F.concat(F.lit('"'), basins, F.lit(' litros"')))
+    batch = F.floor(F.col("id_predio").cast("bigint") / SURVEYS_PER_DOCUMENT)
+    bodies = surveys.groupBy(batch.alias("batch")).agg(F.array_join(F.sort_array(F.collect_list(readable)), ", ").alias("body"))
+    document = F.concat(F.lit('{"vistorias": ['), "body", F.lit("]}"))
+    bodies.select("batch", document.alias("value")).write.partitionBy("batch").text(f"{root}/vistorias")
+    return root, snapshots, measured, f"{root}/vistorias"
+
+
+def job(spark, sf_dir):
+    root, registers, measured, surveyed = job_files(spark, sf_dir)
+    out = scratch(spark, "job")
+    return p.run(spark, registers, measured, surveyed, out, DAY, root=root), out
+
+
+@query(
+    "portfolio_run",
+    JOB_SQL
+    + f"select '{DAY}' as data_referencia, comarca, status as situacao_patrimonial,"
+    + ANSWER_SQL.format(measured="")
+    + ", row_number() over (order by comarca, status) as position from fact group by comarca, status",
+)
+def portfolio_run(spark, sf_dir):
+    """The whole job from text files, through ingestion, all layers and the gate, to the answer by district in order."""
+    done, _ = job(spark, sf_dir)
+    found = done.tables["agg_aproveitamento_comarca"].withColumn("data_referencia", F.col("data_referencia").cast("string"))
+    return metrics.with_position(found, metrics.key_order("comarca", "situacao_patrimonial"))
+
+
+@query(
+    "portfolio_models",
+    JOB_SQL
+    + """
+, counts(model, rows) as (
+  select 'stg_imoveis', count(*) from reg where keyed union all select 'quarentena_imoveis', count(*) from reg where not keyed
+  union all select 'stg_patrimonio', count(*) from measure join reg using (id) where keyed
+  union all select 'stg_vistorias', count(*) from items join reg using (id) where keyed
+  union all select 'stg_sanitarios', 2 * count(*) from items join reg using (id) where keyed
+  union all select 'stg_reservatorios', count(*) from tank join reg using (id) where keyed
+  union all select 'dim_imovel', count(*) from reg where keyed
+  union all select 'dim_localidade', count(*) from (select distinct comarca, cidade from reg where keyed)
+  union all select 'dim_tempo', 1 union all select 'fato_imovel_snapshot', count(*) from fact
+  union all select 'mart_indicadores_imoveis', count(*) from fact union all select 'agg_aproveitamento_geral', 1
+  union all select 'agg_aproveitamento_comarca', count(*) from (select distinct comarca, status from fact))
+select model, rows::bigint as rows from counts
+""",
+)
+def portfolio_models(spark, sf_dir):
+    """Rows of every stored model of the whole job."""
+    done, _ = job(spark, sf_dir)
+    counted = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("model"), "rows") for n, df in done.tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), counted)
+
+
+@query(
+    "answer_quarantine",
+    BASE_SQL
+    + """
+select name as nome_original, 'ID_PREDIO_AUSENTE_OU_INVALIDO' as motivo_quarentena,
+  row_number() over (order by name) as position from reg where not keyed
+""",
+)
+def answer_quarantine(spark, sf_dir):
+    """The rows set aside by the whole job, in order."""
+    done, _ = job(spark, sf_dir)
+    rows = done.tables["quarentena_imoveis"].select("nome_original", "motivo_quarentena")
+    return metrics.with_position(rows, metrics.key_order("nome_original"))
+
+
+@query(
+    "compare_register",
+    BASE_SQL
+    + f"""
+select v.version, (count(*) + {4 * PARTS})::bigint as linhas_fisicas, count(*) filter (where keyed) as imoveis_com_id,
+  count(*) filter (where not keyed) as registros_sem_id
+from reg, (values (0), (1)) v(version) where v.version = 1 or segment <> 'AUTOMOBILE' group by v.version
+""",
+)
+def compare_register(spark, sf_dir):
+    """Both register snapshots, as landed by the whole job, side by side."""
+    _, out = job(spark, sf_dir)
+    return p.compare_register(SnapshotTable(spark, f"{out}/bronze/imoveis"), [0, 1])
+
+
+@query(
+    "collections_fanout",
+    BASE_SQL
+    + """
+select sum(2)::bigint as items, sum(2)::bigint as tanks, sum(4)::bigint as product from items
+""",
+)
+def collections_fanout(spark, sf_dir):
+    """What joining the two collections of a survey without reducing them first would give: computed, not made."""
+    found = surveys(spark, sf_dir)
+    items = p.stage_items(found).groupBy(p.KEY).agg(F.count(F.lit(1)).alias("items"))
+    tanks = p.stage_capacity(found).groupBy(p.KEY).agg(F.count(F.lit(1)).alias("tanks"))
+    both = items.join(tanks, p.KEY)
+    return both.agg(F.sum("items").alias("items"), F.sum("tanks").alias("tanks"), F.sum(F.col("items") * F.col("tanks")).alias("product"))
