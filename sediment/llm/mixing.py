@@ -68,14 +68,18 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
 def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...], int], total: int | None, max_epochs: int) -> DataFrame:
     """Leaves with their ``quota``. ``total`` None stands for as many tokens as there are."""
     leaves = leaves.withColumn("capacity", (F.col("tokens") * max_epochs).cast(EXACT))
-    asked = F.lit(total).cast(EXACT) if total is not None else F.sum("tokens").cast(EXACT)
-    quotas = leaves.agg(F.least(asked, F.sum("capacity")).cast(EXACT).alias("quota")).withColumn("root", F.lit(0))
     path = ["root"]
     leaves = leaves.withColumn("root", F.lit(0))
+    quotas = None
     for level in levels:
-        nodes = leaves.groupBy(*path, level).agg(F.sum("capacity").cast(EXACT).alias("capacity"))
-        above = quotas.select(*path, F.col("quota").alias("budget"))
-        nodes = nodes.join(above, path).withColumn("weight", _weight([*path[1:], level], weights))
+        nodes = leaves.groupBy(*path, level).agg(F.sum("capacity").cast(EXACT).alias("capacity"), F.sum("tokens").alias("tokens"))
+        if quotas is None:  # all of the tree is under one root
+            all_nodes = Window.partitionBy(*path)
+            asked = F.lit(total).cast(EXACT) if total is not None else F.sum("tokens").over(all_nodes).cast(EXACT)
+            nodes = nodes.withColumn("budget", F.least(asked, F.sum("capacity").over(all_nodes).cast(EXACT)))
+        else:
+            nodes = nodes.join(quotas.select(*path, F.col("quota").alias("budget")), path)
+        nodes = nodes.withColumn("weight", _weight([*path[1:], level], weights))
         quotas = share_out(nodes, path, level).select(*path, level, "quota")
         path = [*path, level]
     return leaves.join(quotas, path).drop("root", "capacity")
