@@ -4,7 +4,7 @@ The fingerprint covers the distinct words of a text, since an edit of one word m
 whether two candidates are near copies is then decided by their sets of five-word shingles, whose similarity is taken
 from the smallest ``SKETCH`` hashes of each (all of them for texts with no more).
 
-It takes two rounds. In the first, keys shared by more than ``PAIRS_UP_TO`` texts compare each text with the smallest
+It takes two rounds. In the first, keys shared by more than ``FOLD_OVER`` texts compare each text with the smallest
 of them only, which folds large groups of near copies. The second compares all pairs of what stands for the groups, so
 in the end no two documents that stay are candidates of each other and similar.
 """
@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 
 from sediment.llm.common import free_name, stored
 from sediment.llm.components import smallest_reachable
-from sediment.llm.simhash import PAIRS_UP_TO, distinct_word_fingerprint, keyed_groups
+from sediment.llm.simhash import distinct_word_fingerprint, keyed_groups
 
 SHINGLE = 5
 SIMILAR = 0.8
 MAX_DISTANCE = 6
 SKETCH = 128
+FOLD_OVER = 16
 PRINT = "item long, fp long, sketch array<int>"
 
 
@@ -78,14 +79,23 @@ def sketch_similarity(a: Column, b: Column, size: int = SKETCH) -> Column:
 
 def _round(items: DataFrame, sketches: DataFrame, fold_crowds: bool, max_distance: int, similar: float) -> DataFrame:
     """(u, root) of the items that are linked to others in this round."""
-    shared = keyed_groups(items, ["node", "fp"], max_distance, F.min(F.struct("node", "fp")).alias("centre"))
+    shared, masks = keyed_groups(items, ["node", "fp"], max_distance, F.min(F.struct("node", "fp")).alias("centre"))
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
-    few = shared.where(F.col("n") <= PAIRS_UP_TO) if fold_crowds else shared
+
+    def first_shared(x: Column, y: Column) -> Column:
+        """The first mask on which two fingerprints agree: a pair is made there only, not for each key it shares."""
+        first = F.lit(None).cast("bigint")
+        for m in reversed(masks):
+            first = F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(m)) == 0, F.lit(m)).otherwise(first)
+        return first
+
+    few = shared.where(F.col("n") <= FOLD_OVER) if fold_crowds else shared
     a, b = few.select("mask", "key", F.col("node").alias("u"), F.col("fp").alias("fu")), few.select("mask", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
     same_key = (a.mask == b.mask) & (a.key == b.key)
-    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & near(F.col("fu"), F.col("fv"))).select("u", "v")
+    once = near(F.col("fu"), F.col("fv")) & (first_shared(F.col("fu"), F.col("fv")) == a.mask)
+    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & once).select("u", "v")
     if fold_crowds:
-        crowded = shared.where((F.col("n") > PAIRS_UP_TO) & (F.col("node") != F.col("centre.node")))
+        crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("node") != F.col("centre.node")))
         pairs = pairs.unionByName(crowded.where(near(F.col("fp"), F.col("centre.fp"))).select(F.col("node").alias("u"), F.col("centre.node").alias("v")))
     pairs = stored(pairs.distinct(), "dedup-pairs")
     left = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"))

@@ -189,16 +189,17 @@ def _half_way_links(crowded: DataFrame, max_distance: int) -> DataFrame:
     return meet.join(centres, "at").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
-def keyed_groups(prints: DataFrame, columns: list[str], max_distance: int, *more: Column) -> DataFrame:
-    """Rows of ``prints`` once for each key they share with others: mask, key, the columns, n rows with the key, ``more``.
+def keyed_groups(prints: DataFrame, columns: list[str], max_distance: int, *more: Column) -> tuple[DataFrame, list[int]]:
+    """Rows of ``prints`` once for each key they share with others: mask, key, the columns, n rows with the key, ``more``; and all masks.
 
     Any two fingerprints (fp) within ``max_distance`` bits share at least one key. ``more`` are aggregates by key.
     """
     rows, together = _bit_counts(prints)
-    mask = F.explode(F.array(*map(F.lit, key_masks(plan(together, rows, max_distance)))))
+    masks = key_masks(plan(together, rows, max_distance))
+    mask = F.explode(F.array(*map(F.lit, masks)))
     keyed = prints.select(*columns, mask.alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), *columns)
     groups = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), *more).where("n > 1")
-    return stored(keyed.join(groups, ["mask", "key"]), "simhash-keys")
+    return stored(keyed.join(groups, ["mask", "key"]), "simhash-keys"), masks
 
 
 def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
@@ -206,7 +207,7 @@ def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO)
 
     All such pairs from groups compared pairwise; from larger groups enough of them to connect all that are linked.
     """
-    shared = keyed_groups(prints, ["fp"], max_distance)
+    shared, _ = keyed_groups(prints, ["fp"], max_distance)
     few = shared.where(F.col("n") <= pairs_up_to)
     a, b = few.alias("a"), few.alias("b")
     close = F.expr(f"a.mask = b.mask and a.key = b.key and a.fp < b.fp and bit_count(a.fp ^ b.fp) <= {max_distance}")

@@ -98,7 +98,7 @@ def similarity(a, b):
 
 
 def test_one_of_each_group_stays(spark, docs, doc_rows, monkeypatch):
-    monkeypatch.setattr("sediment.llm.dedup.PAIRS_UP_TO", 8)
+    monkeypatch.setattr("sediment.llm.dedup.FOLD_OVER", 8)
     rng = random.Random(5)
     base = [f"t{rng.randrange(5000)}" for _ in range(150)]
     rows = list(doc_rows)
