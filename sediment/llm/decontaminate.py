@@ -50,8 +50,7 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
         if rest & 1:
             if total is None:
                 total, length = h, size
-            else:  # the part so far follows this one
-                n = len(h) - length if len(h) - length < len(total) - size else len(total) - size
+            else:  # the longer part comes first, then the one so far
                 n = min(len(h), len(total) - size)
                 shift = np.uint64(pow(int(FACTOR), length, 1 << 64))
                 total, length = h[:n] * shift + total[size : size + n], length + size
@@ -75,6 +74,11 @@ class Probes:
     needed: np.ndarray
     seen: np.ndarray
 
+    @property
+    def least(self) -> int:
+        """Fewest q-grams that any probe needs."""
+        return int(self.needed.min()) if len(self.needed) else 1 << 62
+
     @classmethod
     def build(cls, items: list[tuple[int, str]]) -> Probes:
         codes, owner = [], []
@@ -101,54 +105,62 @@ class Probes:
         return cls(hashes[order], probe[order], offset[order], codes, owner, edits, m + 1 - Q - edits * Q, seen)
 
 
-def align(doc: np.ndarray, starts: np.ndarray, probe: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least edits of the whole probe against any stretch of the document inside each band, and where that ends.
+def align(doc: np.ndarray, starts: np.ndarray, probes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least edits of each whole probe against any stretch of the document inside its band, and where that ends.
 
-    ``starts`` are the first diagonals of bands of ``width`` diagonals. One row of all bands is computed at a time.
+    ``starts`` are the first diagonals of the bands, ``width`` diagonals each; ``probes`` has a row for each band.
+    One row of the alignment of all bands is computed at a time.
     """
     lanes = np.arange(width)
-    far = np.int64(len(probe) + width)
-    cost = np.zeros((len(starts), width), dtype=np.int64)  # row 0: a match may begin on any diagonal
-    cost[(starts[:, None] + lanes < 0) | (starts[:, None] + lanes > len(doc))] = far
-    for i, c in enumerate(probe):
-        at = starts[:, None] + lanes + i  # document place that lane l compares in this row
-        inside = (at >= 0) & (at < len(doc))
-        equal = inside & (doc[np.clip(at, 0, len(doc) - 1)] == c)
-        step = np.where(inside, cost + ~equal, far)  # replace or match
+    length = probes.shape[1]
+    far = np.int64(length + width)
+    padded = np.concatenate([np.zeros(PROBE + width + 2, doc.dtype), doc, np.zeros(PROBE + width + 2, doc.dtype)])
+    first = starts[:, None] + lanes  # document place that lane l compares in row 0
+    outside = (first < 0) | (first > len(doc))
+    cost = np.where(outside, far, 0)  # row 0: a match may begin on any diagonal
+    for i in range(length):
+        at = first + i
+        equal = padded[np.clip(at + PROBE + width + 2, 0, len(padded) - 1)] == probes[:, i : i + 1]
+        outside = (at < 0) | (at >= len(doc))
+        step = cost + ~equal  # replace or match
+        step[outside] = far
         step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)  # leave out a probe character
-        step = np.minimum.accumulate(step - lanes, axis=1) + lanes  # take in document characters
-        cost = np.where((at + 1 >= 0) & (at + 1 <= len(doc)), step, far)
+        step -= lanes
+        cost = np.minimum.accumulate(step, axis=1) + lanes  # take in document characters
+        cost[(at < -1) | (at >= len(doc))] = far
     best = np.argmin(cost, axis=1)
-    return cost[np.arange(len(starts)), best], starts + best + len(probe)
+    return cost[np.arange(len(starts)), best], starts + best + length
 
 
 def _search(doc: np.ndarray, hits: np.ndarray, hashes: np.ndarray, probes: Probes) -> list[tuple[int, int, int, int]]:
-    """(probe, from, to, edits) of verified places, given the document q-grams that some probe has."""
-    low = np.searchsorted(probes.hashes, hashes[hits], side="left")
-    high = np.searchsorted(probes.hashes, hashes[hits], side="right")
+    """(probe, from, to, edits) of verified places, given the document q-grams that some probe may have."""
+    wanted = hashes[hits]
+    low = np.searchsorted(probes.hashes, wanted, side="left")
+    high = np.searchsorted(probes.hashes, wanted, side="right")
     some = high > low
-    hits, low, n = hits[some], low[some], (high - low)[some]
-    if not len(hits):
+    if np.count_nonzero(some) < probes.needed.min():
         return []
+    hits, low, n = hits[some], low[some], (high - low)[some]
     entry = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
     probe, offset = probes.probe[entry], probes.offset[entry]
     diagonal = np.repeat(hits, n) - offset + PROBE + 1  # never negative
-    half = probes.edits[probe] + 1
-    band = diagonal // half
-    probe, offset, band = np.tile(probe, 2), np.tile(offset, 2), np.concatenate([band, band - 1])
-    rows = np.unique(np.stack([probe, band, offset]), axis=1)
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(rows[:2], axis=1) != 0).any(axis=0)]))
-    counts = np.diff(np.append(new, rows.shape[1]))
-    enough = counts >= probes.needed[rows[0, new]]
+    band = diagonal // (probes.edits[probe] + 1) + 1
+    bands = len(doc) + 2 * PROBE + 4
+    key = (probe * bands + band) * PROBE + offset
+    rows = np.unique(np.concatenate([key, key - PROBE]))  # each diagonal is in its band and in the one before
+    group = rows // PROBE
+    new = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0]))
+    probe, band = group[new] // bands, group[new] % bands - 1
+    enough = np.diff(np.append(new, len(rows))) >= probes.needed[probe]
     found = []
-    probe, band = rows[0, new][enough], rows[1, new][enough]
-    for p in np.unique(probe):
-        k, m = int(probes.edits[p]), len(probes.codes[p])
-        starts = band[probe == p] * (k + 1) - PROBE - 1
-        edits, ends = align(doc, starts, probes.codes[p], 2 * (k + 1))
-        for e, end in zip(edits.tolist(), ends.tolist(), strict=True):
-            if e <= k:
-                found.append((int(p), max(end - m, 0), end, e))
+    probe, band = probe[enough], band[enough]
+    lengths = np.array([len(probes.codes[p]) for p in probe])
+    for m in np.unique(lengths):
+        these = probe[lengths == m]
+        k = int(probes.edits[these[0]])
+        starts = band[lengths == m] * (k + 1) - PROBE - 1
+        edits, ends = align(doc, starts, np.stack([probes.codes[p] for p in these]), 2 * (k + 1))
+        found += [(p, max(end - int(m), 0), end, e) for p, e, end in zip(these.tolist(), edits.tolist(), ends.tolist(), strict=True) if e <= k]
     return found
 
 
@@ -163,7 +175,7 @@ def find(text: str, probes: Probes) -> list[tuple[int, int, int, int, int]]:
             break
         hashes = gram_hashes(part)
         hits = np.flatnonzero(probes.seen[hashes >> np.uint64(64 - FILTER_BITS)])
-        if not len(hits):
+        if len(hits) < probes.least:
             continue
         for p, start, end, edits in _search(part, hits, hashes, probes):
             first, last = int(places[at + start]), int(places[at + end - 1]) + 1
