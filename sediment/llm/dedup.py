@@ -4,9 +4,9 @@ The fingerprint covers the distinct words of a text, since an edit of one word m
 whether two candidates are near copies is then decided by their sets of five-word shingles, whose similarity is taken
 from the smallest ``SKETCH`` hashes of each (all of them for texts with no more).
 
-It takes two rounds. In the first, keys shared by more than ``FOLD_OVER`` texts compare each text with the smallest
-of them only, which folds large groups of near copies. The second compares all pairs of what stands for the groups, so
-in the end no two documents that stay are candidates of each other and similar.
+A group is all that is connected by similar pairs. Large groups are folded into classes by links to one text of each
+key first; then texts of different classes that share a key are compared, and the links of both are put together, so
+the groups are the same whatever the number of texts that share a key.
 """
 
 from __future__ import annotations
@@ -77,9 +77,21 @@ def sketch_similarity(a: Column, b: Column, size: int = SKETCH) -> Column:
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(shared / F.size(union))
 
 
-def _round(items: DataFrame, sketches: DataFrame, fold_crowds: bool, max_distance: int, similar: float) -> DataFrame:
-    """(u, root) of the items that are linked to others in this round."""
-    shared, masks = keyed_groups(items, ["node", "fp"], max_distance, F.min(F.struct("node", "fp")).alias("centre"))
+def _verified(pairs: DataFrame, sketches: DataFrame, similar: float) -> DataFrame:
+    """The pairs (u, v) of items that are similar."""
+    pairs = stored(pairs.distinct(), "dedup-pairs")
+    left = sketches.select(F.col("item").alias("u"), F.col("sketch").alias("su"))
+    right = sketches.select(F.col("item").alias("v"), F.col("sketch").alias("sv"))
+    return stored(pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar).select("u", "v"), "dedup-links")
+
+
+def _links(items: DataFrame, max_distance: int, similar: float) -> DataFrame:
+    """(u, v) of similar items, as many of them as connect all that are connected by candidates.
+
+    In keys shared by more than ``FOLD_OVER`` texts each is tried with the smallest first. What that links is one class,
+    and afterwards only texts of different classes are paired, each with all others of its keys.
+    """
+    shared, masks = keyed_groups(items, ["item", "fp"], max_distance, F.min(F.struct("item", "fp")).alias("centre"))
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
 
     def first_shared(x: Column, y: Column) -> Column:
@@ -89,19 +101,22 @@ def _round(items: DataFrame, sketches: DataFrame, fold_crowds: bool, max_distanc
             first = F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(m)) == 0, F.lit(m)).otherwise(first)
         return first
 
-    few = shared.where(F.col("n") <= FOLD_OVER) if fold_crowds else shared
-    a, b = few.select("mask", "key", F.col("node").alias("u"), F.col("fp").alias("fu")), few.select("mask", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
+    crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")))
+    stars = crowded.where(near(F.col("fp"), F.col("centre.fp"))).select(F.col("item").alias("u"), F.col("centre.item").alias("v"))
+    first = _verified(stars, items, similar)
+    classed = stored(_with_class(shared.select("mask", "key", "item", "fp"), first), "dedup-classed")
+    a = classed.select("mask", "key", F.col("item").alias("u"), F.col("fp").alias("fu"), F.col("class").alias("cu"))
+    b = classed.select("mask", "key", F.col("item").alias("v"), F.col("fp").alias("fv"), F.col("class").alias("cv"))
     same_key = (a.mask == b.mask) & (a.key == b.key)
     once = near(F.col("fu"), F.col("fv")) & (first_shared(F.col("fu"), F.col("fv")) == a.mask)
-    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & once).select("u", "v")
-    if fold_crowds:
-        crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("node") != F.col("centre.node")))
-        pairs = pairs.unionByName(crowded.where(near(F.col("fp"), F.col("centre.fp"))).select(F.col("node").alias("u"), F.col("centre.node").alias("v")))
-    pairs = stored(pairs.distinct(), "dedup-pairs")
-    left = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"))
-    right = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"))
-    edges = pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar).select("u", "v")
-    return stored(smallest_reachable(edges), "dedup-roots")
+    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & (F.col("cu") != F.col("cv")) & once).select("u", "v")
+    return first.unionByName(_verified(pairs, items, similar))
+
+
+def _with_class(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the class of their item: the smallest item that ``links`` connect it to, itself without a link."""
+    roots = stored(smallest_reachable(links), "dedup-classes").select(F.col("u").alias("item"), "root")
+    return rows.join(roots, "item", "left").withColumn("class", F.coalesce("root", "item")).drop("root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = MAX_DISTANCE, similar: float = SIMILAR) -> DataFrame:
@@ -114,13 +129,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     slim = docs.select(F.col(id_col).alias("id"), _prints(text).alias("p")).select("id", "p.*")
     slim = stored(slim, "dedup-slim")
     items = slim.groupBy("item").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
-    items = stored(items.select(F.struct("id", "item").alias("node"), "fp", "sketch"), "dedup-items")
-    first = _round(items.select("node", "fp"), items, True, max_distance, similar)
-    gone = first.where("u <> root").select(F.col("u").alias("node"))
-    rest = stored(items.select("node", "fp").join(gone, "node", "left_anti"), "dedup-rest")
-    second = _round(rest, items, False, max_distance, similar)
-    gone = gone.unionByName(second.where("u <> root").select(F.col("u").alias("node")))
-    stay = items.select("node").join(gone, "node", "left_anti").select(F.col("node.id").alias("id"), F.col("node.item").alias("item"))
+    items = stored(items, "dedup-items")
+    classed = _with_class(items.select("id", "item"), _links(items, max_distance, similar))
+    stay = classed.groupBy("class").agg(F.min(F.struct("id", "item")).alias("node")).select("node.id", "node.item")
     copies = slim.groupBy("id", "item").agg(F.count(F.lit(1)).alias("copies"))
     stay = stay.alias("s").join(copies.alias("c"), F.expr("s.id <=> c.id and s.item = c.item")).select("s.id", "s.item", "copies")
     item = free_name(docs, "dedup_item")

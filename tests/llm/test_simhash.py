@@ -125,3 +125,24 @@ def test_prints_tell_texts_apart(spark):
     df = spark.createDataFrame([("a b",), ("a  b",), ("",)], "t string")
     rows = [r[0] for r in df.select(_prints(F.col("t"))).collect()]
     assert rows[0].fp == rows[1].fp and rows[0].item != rows[1].item and rows[2].fp == 0 and rows[2].sketch == []
+
+
+def test_variants_of_a_removed_text_go_in_groups_of_any_size(spark, docs, monkeypatch):
+    """One base and variants that are similar to it but not to each other: one stays, crowded keys or not."""
+    rng = random.Random(8)
+    base = [f"t{rng.randrange(5000)}" for _ in range(300)]
+    rows = [(100, " ".join(base))]
+    near = simhash.distinct_word_fingerprint(" ".join(base).encode().split())
+    while len(rows) < 31:  # similarity to the base is 276 / 316, to another variant mostly 256 / 336
+        words = list(base)
+        for k in range(4):
+            words[rng.randrange(5, 70) + 75 * k] = f"new{rng.randrange(10**6)}"
+        if (near ^ simhash.distinct_word_fingerprint(" ".join(words).encode().split())).bit_count() <= 5:
+            rows.append((len(rows) - 1, " ".join(words)))
+    texts = dict(rows)
+    assert all(similarity(texts[100], texts[i]) >= 0.85 for i in range(30))
+    assert sum(similarity(texts[0], texts[i]) < 0.8 for i in range(1, 30)) > 10
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (2, 64):
+        monkeypatch.setattr("sediment.llm.dedup.FOLD_OVER", crowd)
+        assert [r.doc_id for r in drop_near_duplicates(frame).collect()] == [0]
