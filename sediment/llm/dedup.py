@@ -1,16 +1,17 @@
-"""One document of each group of near copies: SimHash candidates by the generalised pigeonhole, then shingle similarity.
+"""One document of each group of near copies: texts whose sets of five-word shingles have a similarity of 0.8 or more.
 
-The fingerprint covers the distinct words of a text, since an edit of one word moves it less than one over shingles;
-whether two candidates are near copies is then decided by their sets of five-word shingles, whose similarity is taken
-from the smallest ``SKETCH`` hashes of each (all of them for texts with no more).
+Two ways lead to candidates. SimHash fingerprints over the distinct words, by the generalised pigeonhole, find most
+copies early but miss some. A prefix filter misses none: with the shingles of all texts in one order, similar texts
+share one among the first fifth of each. The order puts shingles seen often in a sample of the texts last.
 
-A group is all that is connected by similar pairs. Large groups are folded into classes by links to one text of each
-key first; then texts of different classes that share a key are compared, and the links of both are put together, so
-the groups are the same whatever the number of texts that share a key.
+A group is all that is connected by similar pairs. SimHash pairs are linked first, and in large groups the pairs with
+one text of each key only; this makes classes. Then texts of different classes that share a prefix shingle are
+compared, and the links of both are put together, so the groups are the same whatever the first step found.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -29,22 +30,52 @@ SIMILAR = 0.8
 MAX_DISTANCE = 6
 SKETCH = 128
 FOLD_OVER = 16
+SAMPLE = 16  # one in so many texts is looked at for frequent shingles
+FREQUENT = 3  # times in the sample
+MOST_FREQUENT = 1 << 18  # more than these are not put last, which costs candidates but loses none
 PRINT = "item long, fp long, sketch array<int>"
+PREFIX = "size int, firsts array<long>"
 
 
-def shingle_sketch(words: list[bytes], size: int = SKETCH) -> np.ndarray:
-    """Smallest distinct 32-bit hashes of the shingles of five words (of the whole text if it has fewer)."""
+def _shingles(words: list[bytes]) -> list[bytes]:
+    """The shingles of five words (the whole text if it has fewer), repeats included."""
     if not words:
-        return np.zeros(0, np.int32)
+        return []
     joined = b" ".join(words)
     if len(words) <= SHINGLE:
-        starts, ends = [0], [len(joined)]
-    else:
-        spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
-        starts = [0, *(spaces[: len(words) - SHINGLE] + 1).tolist()]
-        ends = [*spaces[SHINGLE - 1 :].tolist(), len(joined)]
-    hashes = np.fromiter(map(xxhash.xxh32_intdigest, map(joined.__getitem__, map(slice, starts, ends)), repeat(5)), np.uint32, len(starts))
-    return np.unique(hashes)[:size].view(np.int32)
+        return [joined]
+    spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
+    starts, ends = [0, *(spaces[: len(words) - SHINGLE] + 1).tolist()], [*spaces[SHINGLE - 1 :].tolist(), len(joined)]
+    return list(map(joined.__getitem__, map(slice, starts, ends)))
+
+
+def shingle_sketch(words: list[bytes], size: int = SKETCH) -> np.ndarray:
+    """Smallest distinct 32-bit hashes of the shingles of five words (of the whole text if it has fewer)."""
+    shingles = _shingles(words)
+    return np.unique(np.fromiter(map(xxhash.xxh32_intdigest, shingles, repeat(5)), np.uint32, len(shingles)))[:size].view(np.int32)
+
+
+def shingle_set(words: list[bytes]) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of all shingles; a single 0 without a word, so that such texts are alike."""
+    shingles = _shingles(words)
+    if not shingles:
+        return np.zeros(1, np.int64)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(5)), np.uint64, len(shingles)).view(np.int64))
+
+
+def prefix(shingles: np.ndarray, frequent: np.ndarray, similar: float) -> np.ndarray:
+    """The first shingles of a set, frequent ones last and the most frequent of all at the end.
+
+    Similar sets share more than the rest of either can hold, so they share one of these. ``frequent`` has the rarer first.
+    """
+    size = len(shingles)
+    length = min(size - math.ceil(similar * size - 1e-9) + 1, size)
+    if not len(frequent):
+        return shingles[:length]
+    by_value = np.argsort(frequent)
+    at = np.minimum(np.searchsorted(frequent, shingles, sorter=by_value), len(frequent) - 1)
+    rank = np.where(frequent[by_value[at]] == shingles, by_value[at], -1)
+    return shingles[np.argsort(rank, kind="stable")][:length]
 
 
 def _prints(text: Column) -> Column:
@@ -70,6 +101,45 @@ def _prints(text: Column) -> Column:
     return prints.asNondeterministic()(text.cast("binary"))
 
 
+def _sets(text: Column) -> Column:
+    """All shingles of a text as sorted hashes."""
+
+    @F.arrow_udf("array<long>")
+    def sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found = [shingle_set((value.as_py() or b"").lower().split()) for value in batch]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+
+    return sets(text.cast("binary"))
+
+
+def _prefixes(text: Column, frequent: np.ndarray, similar: float) -> Column:
+    """Number of different shingles, and the first of them."""
+
+    @F.arrow_udf(PREFIX)
+    def prefixes(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            sizes, firsts = [], []
+            for value in batch:
+                shingles = shingle_set((value.as_py() or b"").lower().split())
+                sizes.append(len(shingles))
+                firsts.append(prefix(shingles, frequent, similar))
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
+            flat = pa.array(np.concatenate(firsts) if firsts else np.zeros(0, np.int64))
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["size", "firsts"])
+
+    return prefixes.asNondeterministic()(text.cast("binary"))
+
+
+def _frequent(docs: DataFrame, text: Column) -> np.ndarray:
+    """Shingles that many texts of a sample have, the most frequent last."""
+    sample = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).distinct()
+    counts = sample.select(F.explode(_sets(F.col("text"))).alias("shingle")).groupBy("shingle").count().where(F.col("count") >= FREQUENT)
+    most = counts.orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).collect()
+    return np.array([r[0] for r in reversed(most)], dtype=np.int64)
+
+
 def sketch_similarity(a: Column, b: Column, size: int = SKETCH) -> Column:
     """Jaccard similarity from the smallest hashes of both sets together; 1 for two empty sets."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
@@ -85,13 +155,9 @@ def _verified(pairs: DataFrame, sketches: DataFrame, similar: float) -> DataFram
     return stored(pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar).select("u", "v"), "dedup-links")
 
 
-def _links(items: DataFrame, max_distance: int, similar: float) -> DataFrame:
-    """(u, v) of similar items, as many of them as connect all that are connected by candidates.
-
-    In keys shared by more than ``FOLD_OVER`` texts each is tried with the smallest first. What that links is one class,
-    and afterwards only texts of different classes are paired, each with all others of its keys.
-    """
-    shared, masks = keyed_groups(items, ["item", "fp"], max_distance, F.min(F.struct("item", "fp")).alias("centre"))
+def _fingerprint_links(items: DataFrame, max_distance: int, similar: float) -> DataFrame:
+    """(u, v) of similar items among those whose fingerprints are near; in keys of over ``FOLD_OVER`` texts with the smallest only."""
+    shared, masks = keyed_groups(items.select("item", "fp"), ["item", "fp"], max_distance, F.min(F.struct("item", "fp")).alias("centre"))
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
 
     def first_shared(x: Column, y: Column) -> Column:
@@ -101,16 +167,41 @@ def _links(items: DataFrame, max_distance: int, similar: float) -> DataFrame:
             first = F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(m)) == 0, F.lit(m)).otherwise(first)
         return first
 
-    crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")))
-    stars = crowded.where(near(F.col("fp"), F.col("centre.fp"))).select(F.col("item").alias("u"), F.col("centre.item").alias("v"))
-    first = _verified(stars, items, similar)
-    classed = stored(_with_class(shared.select("mask", "key", "item", "fp"), first), "dedup-classed")
-    a = classed.select("mask", "key", F.col("item").alias("u"), F.col("fp").alias("fu"), F.col("class").alias("cu"))
-    b = classed.select("mask", "key", F.col("item").alias("v"), F.col("fp").alias("fv"), F.col("class").alias("cv"))
+    few = shared.where(F.col("n") <= FOLD_OVER)
+    a = few.select("mask", "key", F.col("item").alias("u"), F.col("fp").alias("fu"))
+    b = few.select("mask", "key", F.col("item").alias("v"), F.col("fp").alias("fv"))
     same_key = (a.mask == b.mask) & (a.key == b.key)
     once = near(F.col("fu"), F.col("fv")) & (first_shared(F.col("fu"), F.col("fv")) == a.mask)
-    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & (F.col("cu") != F.col("cv")) & once).select("u", "v")
-    return first.unionByName(_verified(pairs, items, similar))
+    pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & once).select("u", "v")
+    crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")) & near(F.col("fp"), F.col("centre.fp")))
+    return _verified(pairs.unionByName(crowded.select(F.col("item").alias("u"), F.col("centre.item").alias("v"))), items, similar)
+
+
+def _prefix_links(items: DataFrame, known: DataFrame, similar: float) -> DataFrame:
+    """(u, v) of similar items: with ``known`` they connect all that similar pairs connect."""
+    rows = items.select("item", "size", F.posexplode("firsts").alias("at", "shingle"))
+    groups = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("item", "size")).alias("centre")).where("n > 1")
+    shared = stored(rows.join(groups, "shingle"), "dedup-shared")
+    alike = lambda m, n: F.least(m, n) >= F.greatest(m, n) * F.lit(similar - 1e-9)
+    crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")) & alike(F.col("size"), F.col("centre.size")))
+    crowded = _with_class(crowded.select("item", F.col("centre.item").alias("v")).distinct(), known)
+    crowded = _with_class(crowded.select(F.col("item").alias("u"), F.col("class").alias("cu"), F.col("v").alias("item")), known)
+    stars = _verified(crowded.where("cu <> class").select("u", F.col("item").alias("v")), items, similar)
+    known = stored(known.unionByName(stars), "dedup-known")
+    classed = _with_class(shared.select("shingle", "item", "size", "at"), known)
+    of_class = classed.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n"))
+    largest = of_class.groupBy("shingle").agg(F.max(F.struct("n", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes"))
+    # shingles of one class only are done, and members of the largest class need not meet each other
+    classed = stored(classed.join(largest.where("classes > 1"), "shingle").drop("classes"), "dedup-classed")
+    a = classed.where(F.col("class") != F.col("largest"))
+    a = a.select("shingle", F.col("item").alias("u"), F.col("size").alias("m"), F.col("at").alias("i"), F.col("class").alias("cu"))
+    b = classed.select("shingle", F.col("item").alias("v"), F.col("size").alias("n"), F.col("at").alias("j"), F.col("class").alias("cv"), "largest")
+    # at the first shingle that they share, what follows it in either must be enough
+    enough = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) >= (F.col("m") + F.col("n")) * F.lit(similar / (1 + similar) - 1e-9)
+    once = (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("largest")) | (F.col("v") < F.col("u")))
+    pairs = a.join(b, "shingle").where(once & alike(F.col("m"), F.col("n")) & enough)
+    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return known.unionByName(_verified(pairs, items, similar))
 
 
 def _with_class(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -126,11 +217,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     told apart by a 64-bit hash. Rows of the same id with different texts are different documents. All columns stay.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    slim = docs.select(F.col(id_col).alias("id"), _prints(text).alias("p")).select("id", "p.*")
+    firsts = _prefixes(text, _frequent(docs, text), similar)
+    slim = docs.select(F.col(id_col).alias("id"), _prints(text).alias("p"), firsts.alias("f")).select("id", "p.*", "f.*")
     slim = stored(slim, "dedup-slim")
-    items = slim.groupBy("item").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
+    items = slim.groupBy("item").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("fp", "sketch", "size", "firsts")))
     items = stored(items, "dedup-items")
-    classed = _with_class(items.select("id", "item"), _links(items, max_distance, similar))
+    links = _prefix_links(items, _fingerprint_links(items, max_distance, similar), similar)
+    classed = _with_class(items.select("id", "item"), links)
     stay = classed.groupBy("class").agg(F.min(F.struct("id", "item")).alias("node")).select("node.id", "node.item")
     copies = slim.groupBy("id", "item").agg(F.count(F.lit(1)).alias("copies"))
     stay = stay.alias("s").join(copies.alias("c"), F.expr("s.id <=> c.id and s.item = c.item")).select("s.id", "s.item", "copies")

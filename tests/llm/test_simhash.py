@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sediment.llm import simhash
 from sediment.llm.components import smallest_reachable
-from sediment.llm.dedup import _prints, drop_near_duplicates, shingle_sketch, sketch_similarity
+from sediment.llm.dedup import _prints, drop_near_duplicates, prefix, shingle_set, shingle_sketch, sketch_similarity
 from tests.llm.test_queries import components
 
 
@@ -146,3 +146,40 @@ def test_variants_of_a_removed_text_go_in_groups_of_any_size(spark, docs, monkey
     for crowd in (2, 64):
         monkeypatch.setattr("sediment.llm.dedup.FOLD_OVER", crowd)
         assert [r.doc_id for r in drop_near_duplicates(frame).collect()] == [0]
+
+
+def test_copies_with_passages_added_or_cut_go(spark):
+    """Against brute force: appended, prepended and cut copies, which move the fingerprint of the words far."""
+    rng = random.Random(12)
+    rows, far = [], 0
+    for i in range(25):
+        words = [f"t{rng.randrange(900)}" for _ in range(rng.randint(60, 300))]
+        foreign = [f"f{rng.randrange(10**6)}" for _ in range(len(words) * 17 // 100)]
+        for k, copy in enumerate((words, words + foreign, foreign + words, words[len(foreign) :], words[: -len(foreign)])[: 1 + i % 5]):
+            rows.append((10 * i + k, " ".join(copy + ["a line that all the texts have"] * (i % 2))))
+    sets = [set(shingle_set(t.encode().split()).tolist()) for _, t in rows]
+    prints = [simhash.distinct_word_fingerprint(t.encode().split()) for _, t in rows]
+    edges = []
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                edges.append((a, b))
+                far += (prints[a] ^ prints[b]).bit_count() > 6
+    assert far > 15
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [rows[i][0] for i in sorted(set(root))]
+
+
+def test_similar_sets_share_a_prefix_shingle():
+    rng = random.Random(13)
+    for _ in range(300):
+        both = [rng.getrandbits(60) for _ in range(rng.randint(1, 80))]
+        more = [rng.getrandbits(60) for _ in range(len(both) // 4)]
+        cut = rng.randint(0, len(more))
+        a, b = np.array(sorted(both + more[:cut])), np.array(sorted(both + more[cut:]))
+        frequent = np.array(rng.sample(both, len(both) // 2) + [5], dtype=np.int64)
+        assert set(prefix(a, frequent, 0.8).tolist()) & set(prefix(b, frequent, 0.8).tolist())
