@@ -29,6 +29,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 MAX_DISTANCE = 6
 SKETCH = 128
+FAR_BELOW = 0.3
 FOLD_OVER = 16
 SAMPLE = 16  # one in so many texts is looked at for frequent shingles
 FREQUENT = 3  # times in the sample
@@ -147,15 +148,25 @@ def sketch_similarity(a: Column, b: Column, size: int = SKETCH) -> Column:
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(shared / F.size(union))
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, similar: float) -> DataFrame:
-    """The pairs (u, v) of items that are similar."""
-    pairs = stored(pairs.distinct(), "dedup-pairs")
-    left = sketches.select(F.col("item").alias("u"), F.col("sketch").alias("su"))
-    right = sketches.select(F.col("item").alias("v"), F.col("sketch").alias("sv"))
-    return stored(pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar).select("u", "v"), "dedup-links")
-
+def _verified(pairs: DataFrame, items: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """The pairs (u, v) of items that are similar: the sketch rules out what is far below, shared shingles of the whole sets decide.
 
-def _fingerprint_links(items: DataFrame, max_distance: int, similar: float) -> DataFrame:
+    A sketch of ``SKETCH`` hashes that is ``FAR_BELOW`` under the true similarity comes up about once in 10^12 pairs.
+    """
+    pairs = stored(pairs.distinct(), "dedup-pairs")
+    left = items.select(F.col("item").alias("u"), F.col("sketch").alias("su"), F.col("size").alias("m"))
+    right = items.select(F.col("item").alias("v"), F.col("sketch").alias("sv"), F.col("size").alias("n"))
+    maybe = pairs.join(left, "u").join(right, "v").where(sketch_similarity(F.col("su"), F.col("sv")) >= similar - FAR_BELOW)
+    maybe = stored(maybe.select("u", "v", "m", "n"), "dedup-maybe")
+    wanted = maybe.select(F.explode(F.array("u", "v")).alias("item")).distinct()
+    whole = texts.join(wanted, "item", "left_semi").groupBy("item").agg(F.first("text").alias("text"))
+    whole = stored(whole.select("item", _sets(F.col("text")).alias("set")), "dedup-sets")
+    both = maybe.join(whole.select(F.col("item").alias("u"), F.col("set").alias("a")), "u").join(whole.select(F.col("item").alias("v"), F.col("set").alias("b")), "v")
+    both = both.select("u", "v", "m", "n", F.size(F.array_intersect("a", "b")).alias("shared"))
+    return stored(both.where(F.col("shared") / (F.col("m") + F.col("n") - F.col("shared")) >= similar).select("u", "v"), "dedup-links")
+
+
+def _fingerprint_links(items: DataFrame, texts: DataFrame, max_distance: int, similar: float) -> DataFrame:
     """(u, v) of similar items among those whose fingerprints are near; in keys of over ``FOLD_OVER`` texts with the smallest only."""
     shared, masks = keyed_groups(items.select("item", "fp"), ["item", "fp"], max_distance, F.min(F.struct("item", "fp")).alias("centre"))
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
@@ -174,10 +185,10 @@ def _fingerprint_links(items: DataFrame, max_distance: int, similar: float) -> D
     once = near(F.col("fu"), F.col("fv")) & (first_shared(F.col("fu"), F.col("fv")) == a.mask)
     pairs = a.join(b, same_key & (F.col("v") < F.col("u")) & once).select("u", "v")
     crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")) & near(F.col("fp"), F.col("centre.fp")))
-    return _verified(pairs.unionByName(crowded.select(F.col("item").alias("u"), F.col("centre.item").alias("v"))), items, similar)
+    return _verified(pairs.unionByName(crowded.select(F.col("item").alias("u"), F.col("centre.item").alias("v"))), items, texts, similar)
 
 
-def _prefix_links(items: DataFrame, known: DataFrame, similar: float) -> DataFrame:
+def _prefix_links(items: DataFrame, texts: DataFrame, known: DataFrame, similar: float) -> DataFrame:
     """(u, v) of similar items: with ``known`` they connect all that similar pairs connect."""
     rows = items.select("item", "size", F.posexplode("firsts").alias("at", "shingle"))
     groups = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("item", "size")).alias("centre")).where("n > 1")
@@ -186,7 +197,7 @@ def _prefix_links(items: DataFrame, known: DataFrame, similar: float) -> DataFra
     crowded = shared.where((F.col("n") > FOLD_OVER) & (F.col("item") != F.col("centre.item")) & alike(F.col("size"), F.col("centre.size")))
     crowded = _with_class(crowded.select("item", F.col("centre.item").alias("v")).distinct(), known)
     crowded = _with_class(crowded.select(F.col("item").alias("u"), F.col("class").alias("cu"), F.col("v").alias("item")), known)
-    stars = _verified(crowded.where("cu <> class").select("u", F.col("item").alias("v")), items, similar)
+    stars = _verified(crowded.where("cu <> class").select("u", F.col("item").alias("v")), items, texts, similar)
     known = stored(known.unionByName(stars), "dedup-known")
     classed = _with_class(shared.select("shingle", "item", "size", "at"), known)
     of_class = classed.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("n"))
@@ -201,7 +212,7 @@ def _prefix_links(items: DataFrame, known: DataFrame, similar: float) -> DataFra
     once = (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("largest")) | (F.col("v") < F.col("u")))
     pairs = a.join(b, "shingle").where(once & alike(F.col("m"), F.col("n")) & enough)
     pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    return known.unionByName(_verified(pairs, items, similar))
+    return known.unionByName(_verified(pairs, items, texts, similar))
 
 
 def _with_class(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -222,7 +233,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     slim = stored(slim, "dedup-slim")
     items = slim.groupBy("item").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("fp", "sketch", "size", "firsts")))
     items = stored(items, "dedup-items")
-    links = _prefix_links(items, _fingerprint_links(items, max_distance, similar), similar)
+    texts = docs.select(F.xxhash64(text).alias("item"), text.alias("text"))
+    links = _prefix_links(items, texts, _fingerprint_links(items, texts, max_distance, similar), similar)
     classed = _with_class(items.select("id", "item"), links)
     stay = classed.groupBy("class").agg(F.min(F.struct("id", "item")).alias("node")).select("node.id", "node.item")
     copies = slim.groupBy("id", "item").agg(F.count(F.lit(1)).alias("copies"))

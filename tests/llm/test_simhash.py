@@ -183,3 +183,14 @@ def test_similar_sets_share_a_prefix_shingle():
         a, b = np.array(sorted(both + more[:cut])), np.array(sorted(both + more[cut:]))
         frequent = np.array(rng.sample(both, len(both) // 2) + [5], dtype=np.int64)
         assert set(prefix(a, frequent, 0.8).tolist()) & set(prefix(b, frequent, 0.8).tolist())
+
+
+def test_the_limit_is_exact_for_long_texts(spark):
+    """Pairs of 1000 shared shingles at 0.8 and just below it, in sets too large for the sketch to tell."""
+    rows = []
+    for i in range(20):
+        words = [f"w{i}x{k}" for k in range(1004)]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words + [f"y{i}x{k}" for k in range(250 + i % 2)]))]
+    assert {round(similarity(rows[k][1], rows[k + 1][1]), 4) for k in range(0, 40, 2)} == {0.8, 0.7994}
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [10 * i + k for i in range(20) for k in range(1 + i % 2)]
