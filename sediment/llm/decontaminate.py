@@ -1,7 +1,7 @@
 """Benchmark passages in documents: q-gram lemma filter in diagonal bands, then banded alignment.
 
 Texts are compared as lower-case letters and digits with single spaces between words. Benchmark items are cut into
-overlapping probes. A place within k edits of a probe of m characters keeps at least ``m + 1 - q - k * q`` of its
+overlapping probes of two sizes: long ones that allow for a changed word, short ones for quotes. A place within k edits of a probe of m characters keeps at least ``m + 1 - q - k * q`` of its
 q-grams, on diagonals at most k apart. Diagonals are counted in bands of twice k + 1 that overlap by half, so one band
 holds all of them: only bands with that many different probe q-grams are aligned, and only along the band.
 """
@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from sediment.llm.common import character_tables, code_points
 
-Q = 12
-PROBE = 96
-STEP = 48
-EDIT_RATE = 0.05
+Q = 8
+PROBE = 96  # longest probe
+SIZES = ((96, 24, 9), (48, 12, 4))  # characters, step and edits of probes: a changed long word, and short quotes
 LEAST_CHARS = 24  # shorter items are no evidence of anything
 BLOCK_CHARS = 8_000_000  # of benchmark text searched for at once
 WINDOW = 1 << 20
@@ -73,6 +72,11 @@ class Probes:
     edits: np.ndarray
     needed: np.ndarray
     seen: np.ndarray
+    item_hashes: np.ndarray
+    item_of: np.ndarray
+    place: np.ndarray
+    item_needed: np.ndarray
+    longest: int
 
     @property
     def least(self) -> int:
@@ -81,28 +85,71 @@ class Probes:
 
     @classmethod
     def build(cls, items: list[tuple[int, str]]) -> Probes:
-        codes, owner = [], []
+        codes, owner, edits, wholes = [], [], [], []
         for number, (_, text) in enumerate(items):
             whole = normalise(text)[0]
             whole = whole[: len(whole) - 1] if len(whole) and whole[-1] == 32 else whole
             if len(whole) < LEAST_CHARS:
                 continue
-            starts = list(range(0, max(len(whole) - PROBE, 0) + 1, STEP))
-            if starts[-1] + PROBE < len(whole):
-                starts.append(len(whole) - PROBE)
-            for s in starts:
-                codes.append(whole[s : s + PROBE])
-                owner.append(number)
+            wholes.append((number, whole))
+            for size, step, most in SIZES:
+                if len(whole) < size and size > SIZES[-1][0]:
+                    continue
+                starts = list(range(0, max(len(whole) - size, 0) + 1, step))
+                if starts[-1] + size < len(whole):
+                    starts.append(len(whole) - size)
+                for s in starts:
+                    codes.append(whole[s : s + size])
+                    owner.append(number)
+                    edits.append(most * len(codes[-1]) // size)
         grams = [gram_hashes(c) for c in codes]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
         probe = np.repeat(np.arange(len(codes)), [len(g) for g in grams]).astype(np.int64)
         offset = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         m = np.array([len(c) for c in codes], dtype=np.int64)
-        edits = np.floor(m * EDIT_RATE).astype(np.int64)
+        edits = np.array(edits, dtype=np.int64)
         seen = np.zeros(1 << FILTER_BITS, dtype=bool)
         seen[hashes >> np.uint64(64 - FILTER_BITS)] = True
-        return cls(hashes[order], probe[order], offset[order], codes, owner, edits, m + 1 - Q - edits * Q, seen)
+        needed = m + 1 - Q - edits * Q
+        item_needed = np.full(len(items), 1 << 62, dtype=np.int64)
+        np.minimum.at(item_needed, np.array(owner, dtype=np.int64), needed)
+        parts = [gram_hashes(w) for _, w in wholes]
+        item_hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        item_of = np.repeat([n for n, _ in wholes], [len(x) for x in parts]).astype(np.int64)
+        place = np.concatenate([np.arange(len(x)) for x in parts]) if parts else np.zeros(0, np.int64)
+        by_hash = np.argsort(item_hashes, kind="stable")
+        longest = max((len(w) for _, w in wholes), default=0)
+        of_items = item_hashes[by_hash], item_of[by_hash], place[by_hash], item_needed, longest
+        return cls(hashes[order], probe[order], offset[order], codes, owner, edits, needed, seen, *of_items)
+
+
+def _entries(sorted_hashes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash of ``wanted`` all places where it stands in ``sorted_hashes``: index into wanted, place."""
+    low = np.searchsorted(sorted_hashes, wanted, side="left")
+    n = np.searchsorted(sorted_hashes, wanted, side="right") - low
+    return np.repeat(np.arange(len(wanted)), n), np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _worth(hits: np.ndarray, hashes: np.ndarray, probes: Probes, length: int) -> np.ndarray:
+    """The document q-grams that lie, with as many of an item as any of its probes needs, in a band of diagonals.
+
+    Probes of an item share its diagonals, so this is looked at once for each item, in bands as wide as any probe's.
+    """
+    width = int(probes.edits.max()) + 1
+    which, entry = _entries(probes.item_hashes, hashes[hits])
+    band = (hits[which] - probes.place[entry] + probes.longest) // width
+    bands = (length + probes.longest) // width + 2
+    key = probes.item_of[entry] * bands + band
+    keys, at, count = np.unique(key, return_inverse=True, return_counts=True)
+    beside = np.diff(keys) == 1
+    with_next, with_last = count.copy(), count.copy()
+    with_next[:-1] += np.where(beside, count[1:], 0)
+    with_last[1:] += np.where(beside, count[:-1], 0)
+    enough = np.maximum(with_next, with_last) >= probes.item_needed[keys // bands]
+    keep = np.zeros(len(hits), dtype=bool)
+    keep[which[enough[at]]] = True
+    return hits[keep]
 
 
 def align(doc: np.ndarray, starts: np.ndarray, probes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,6 +181,7 @@ def align(doc: np.ndarray, starts: np.ndarray, probes: np.ndarray, width: int) -
 
 def _search(doc: np.ndarray, hits: np.ndarray, hashes: np.ndarray, probes: Probes) -> list[tuple[int, int, int, int]]:
     """(probe, from, to, edits) of verified places, given the document q-grams that some probe may have."""
+    hits = _worth(hits, hashes, probes, len(doc))
     wanted = hashes[hits]
     low = np.searchsorted(probes.hashes, wanted, side="left")
     high = np.searchsorted(probes.hashes, wanted, side="right")

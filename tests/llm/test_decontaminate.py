@@ -90,3 +90,27 @@ def test_blocks_of_the_benchmark_find_the_same(spark, items, monkeypatch):
     assert one == [(i, i, 0) for i, _ in items]
     monkeypatch.setattr(d, "BLOCK_CHARS", 300)
     assert got() == one
+
+
+def test_items_with_changed_words_and_short_quotes_are_found():
+    """5 and 10 % of the words replaced or left out, and verbatim quotes of 13 and 20 words; hardly any is lost."""
+    rng = random.Random(21)
+    items = [(i, text(rng, rng.randint(30, 50))) for i in range(60)]
+    probes = d.Probes.build(items)
+    around = text(rng, 40), text(rng, 40)
+    is_found = lambda number, words: number in {r[0] for r in d.find(" ".join([around[0], *words, around[1]]), probes)}
+    for rate, most in ((0.05, 1), (0.1, 4)):
+        for leave_out in (False, True):
+            lost = 0
+            for number, item in items:
+                words = item.split()
+                for at in sorted(rng.sample(range(len(words)), max(1, round(rate * len(words)))), reverse=True):
+                    words[at : at + 1] = [] if leave_out else [text(rng, 1)]
+                lost += not is_found(number, words)
+            assert lost <= most, (rate, leave_out, lost)
+    for length in (13, 20):
+        for number, item in items:
+            words = item.split()
+            at = rng.randrange(len(words) - length)
+            assert is_found(number, words[at : at + length])
+    assert not d.find(text(rng, 5000), probes)
