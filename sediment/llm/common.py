@@ -1,20 +1,16 @@
-"""What several operators share: stored tables, row names, fold numbers, batches of texts, character tables."""
+"""What several operators share: stored tables, row names, fold numbers, character tables."""
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.session import scratch
 
-BATCH_CHARS = 2_000_000
-
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: lineage ends here and a lost executor costs no recomputation."""
@@ -36,21 +32,6 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def in_chunks(texts: pa.Array, limit: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """The texts of an Arrow batch in order, null as empty, a few million characters at a time; a longer text stands alone."""
-    chunk: list[str] = []
-    size = 0
-    for value in texts:
-        text = value.as_py() or ""
-        if chunk and size + len(text) > limit:
-            yield chunk
-            chunk, size = [], 0
-        chunk.append(text)
-        size += len(text)
-    if chunk:
-        yield chunk
-
-
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import stored
+from sediment.llm.common import free_name, stored
 from sediment.llm.components import smallest_reachable
 
 BITS = 64
@@ -60,12 +60,6 @@ def majority(hashes: np.ndarray) -> int:
     return int(packed.view("<i8")[0])
 
 
-def distinct_word_fingerprint(words: list[bytes]) -> int:
-    """Signed 64-bit SimHash of the set of words; 0 without a word."""
-    distinct = set(words)
-    return majority(np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(42)), np.uint64, len(distinct))) if distinct else 0
-
-
 def fingerprint_column(text: Column, width: int = 3) -> Column:
     @F.arrow_udf("long")
     def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -131,8 +125,9 @@ def estimated_cost(group: list[int], threshold: int, p: np.ndarray, rows: int) -
 
 
 def plan(together: np.ndarray, rows: int, max_distance: int) -> list[tuple[list[int], int]]:
-    """Partitions with their thresholds, of least estimated cost over all numbers of partitions."""
-    p = np.diag(together) / max(rows, 1)
+    """Partitions with their thresholds, of least estimated cost over all numbers of partitions; no rows are planned as one."""
+    rows = max(rows, 1)
+    p = np.diag(together) / rows
     best: tuple[float, list[tuple[list[int], int]]] | None = None
     for parts in range(1, max_distance + 2):
         groups = group_bits(together, rows, parts)
@@ -189,17 +184,17 @@ def _half_way_links(crowded: DataFrame, max_distance: int) -> DataFrame:
     return meet.join(centres, "at").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
-def keyed_groups(prints: DataFrame, columns: list[str], max_distance: int, *more: Column) -> tuple[DataFrame, list[int]]:
-    """Rows of ``prints`` once for each key they share with others: mask, key, the columns, n rows with the key, ``more``; and all masks.
+def keyed_groups(prints: DataFrame, max_distance: int) -> DataFrame:
+    """Fingerprints (fp) once for each key they share with others: mask, key, fp, n rows with the key.
 
-    Any two fingerprints (fp) within ``max_distance`` bits share at least one key. ``more`` are aggregates by key.
+    Any two fingerprints within ``max_distance`` bits share at least one key.
     """
     rows, together = _bit_counts(prints)
     masks = key_masks(plan(together, rows, max_distance))
-    mask = F.explode(F.array(*map(F.lit, masks)))
-    keyed = prints.select(*columns, mask.alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), *columns)
-    groups = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), *more).where("n > 1")
-    return stored(keyed.join(groups, ["mask", "key"]), "simhash-keys"), masks
+    keyed = prints.select("fp", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
+    keyed = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+    groups = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return stored(keyed.join(groups, ["mask", "key"]), "simhash-keys")
 
 
 def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
@@ -207,7 +202,7 @@ def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO)
 
     All such pairs from groups compared pairwise; from larger groups enough of them to connect all that are linked.
     """
-    shared, _ = keyed_groups(prints, ["fp"], max_distance)
+    shared = keyed_groups(prints, max_distance)
     few = shared.where(F.col("n") <= pairs_up_to)
     a, b = few.alias("a"), few.alias("b")
     close = F.expr(f"a.mask = b.mask and a.key = b.key and a.fp < b.fp and bit_count(a.fp ^ b.fp) <= {max_distance}")
@@ -215,6 +210,18 @@ def links(prints: DataFrame, max_distance: int, pairs_up_to: int = PAIRS_UP_TO)
     return pairs.unionByName(_half_way_links(shared.where(F.col("n") > pairs_up_to), max_distance)).distinct()
 
 
+def _classes(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, component_id, keeper) for the rows (fp, first_id): smallest id that is linked to fp, and the fingerprint that has it."""
+    roots = stored(smallest_reachable(links(prints, max_distance)), "simhash-roots")
+    least = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp"))
+    first = roots.join(prints, roots.u == prints.fp).groupBy("root").agg(least.alias("least"))
+    moved = roots.join(first, "root").select(F.col("u").alias("fp"), "least")
+    component = F.when(F.col("least").isNotNull(), F.col("least.first_id")).otherwise(F.col("first_id"))
+    classes = prints.join(moved, "fp", "left").select("fp", component.alias("component_id"), F.coalesce("least.fp", "fp").alias("keeper"))
+    # stored, so that joins with it meet two plain shuffles and a fingerprint of very many rows can be split
+    return stored(classes, "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 2) -> DataFrame:
     """(id, fp, component_id) for every row: the smallest id reachable over links of at most ``max_distance`` bits.
 
@@ -224,9 +231,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim = docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), width).alias("fp"))
     slim = stored(slim, "simhash")
     prints = stored(slim.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-distinct")
-    roots = stored(smallest_reachable(links(prints, max_distance)), "simhash-roots")
-    first = roots.join(prints, roots.u == prints.fp).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    moved = roots.join(first, "root").select(F.col("u").alias("fp"), "component_id")
-    classes = prints.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    # stored, so that the join below meets two plain shuffles and a fingerprint of very many rows can be split
-    return slim.join(stored(classes, "simhash-classes"), "fp").select("id", "fp", "component_id")
+    return slim.join(_classes(prints, max_distance), "fp").select("id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 2) -> DataFrame:
+    """``docs`` with one row of each component, of the smallest id in it, with all columns.
+
+    Where rows share that id, one of the least fingerprint stays. Null ids come last. The rules of ``near_duplicates`` hold otherwise.
+    """
+    fp = free_name(docs, "simhash_fp")
+    marked = stored(docs.withColumn(fp, fingerprint_column(F.col(text_col), width)), "simhash-marked")
+    prints = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("first_id")), "simhash-distinct")
+    stay = _classes(prints, max_distance).where("fp = keeper").select(F.col("fp").alias("keeper"), "component_id")
+    here = F.col(f"d.`{fp}`") == F.col("s.keeper")
+    found = marked.alias("d").join(stay.alias("s"), here & F.col(f"d.`{id_col}`").eqNullSafe(F.col("s.component_id"))).select("d.*")
+    return found.dropDuplicates([fp]).drop(fp)

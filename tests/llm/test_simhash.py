@@ -2,12 +2,10 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sediment.llm import simhash
 from sediment.llm.components import smallest_reachable
-from sediment.llm.dedup import _prints, drop_near_duplicates, prefix, shingle_set, shingle_sketch, sketch_similarity
-from tests.llm.test_queries import components
+from tests.llm.test_queries import components, simhash as word_simhash
 
 
 def signed(x):
@@ -82,115 +80,28 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == want
 
 
-def test_sketch_similarity_is_exact_for_small_sets(spark):
-    a, b = [f"w{i}".encode() for i in range(40)], [f"w{i}".encode() for i in range(4, 46)]
-    df = spark.createDataFrame([(shingle_sketch(a).tolist(), shingle_sketch(b).tolist()), ([], [])], "a array<int>, b array<int>")
-    got = [r[0] for r in df.select(sketch_similarity(F.col("a"), F.col("b"))).collect()]
-    assert got == [32 / 42, 1.0]
+@pytest.mark.parametrize("rows", [0, 1])
+@pytest.mark.parametrize("distance", [2, 6])
+def test_plans_of_no_rows_have_few_keys(rows, distance):
+    assert len(simhash.key_masks(simhash.plan(np.zeros((64, 64)), rows, distance))) <= 64
 
 
-def similarity(a, b):
-    sets = []
-    for t in (a, b):
-        w = t.lower().split()
-        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
-
-
-def test_one_of_each_group_stays(spark, docs, doc_rows, monkeypatch):
-    monkeypatch.setattr("sediment.llm.dedup.FOLD_OVER", 8)
+def test_one_of_each_component_stays(spark, docs, doc_rows):
+    """Against brute force, with copies, repeated rows, rows of one id and null ids; all columns stay."""
     rng = random.Random(5)
-    base = [f"t{rng.randrange(5000)}" for _ in range(150)]
+    base = [f"t{rng.randrange(5000)}" for _ in range(900)]
     rows = list(doc_rows)
-    for i in range(60):  # copies with one word changed; some are equal
+    for i in range(40):  # copies with one word changed; some are equal
         words = list(base)
-        words[rng.randrange(3) * 60] = f"new{i % 40}"
-        rows.append((5000 + i, " ".join(words), "en", "src0", 0, None, None, None, None, None))
-    frame = spark.createDataFrame(rows, docs.schema).repartition(4)
-    kept = drop_near_duplicates(frame)
+        words[rng.randrange(3) * 60] = f"new{i % 25}"
+        rows.append((5000 + i % 37, " ".join(words), "en", "src0", 0, None, None, None, None, None))
+    rows += [(None, "no id for this row here", None, None, None, None, None, None, None, None)] * 2
+    kept = simhash.one_of_each(spark.createDataFrame(rows, docs.schema).repartition(4))
     assert kept.columns == docs.columns
-    got = [(r.doc_id, r.text) for r in kept.collect()]
-    assert len(got) == len(set(got)) and set(got) <= {(r[0], r[1]) for r in rows}
-    assert sum(i is not None and i >= 5000 for i, _ in got) == 1
-    others = [(i, t) for i, t in got if i is None or i < 5000]
-    texts = {r[1] or "" for r in rows if r[0] is None or r[0] < 5000}
-    assert len({t or "" for _, t in others}) == len(others)
-    for t in texts - {t or "" for _, t in others}:  # what went is close to something that stayed
-        assert max(similarity(t, k or "") for _, k in others) >= 0.75
-    for n, (_, a) in enumerate(others):
-        assert all(similarity(a or "", b or "") < 0.85 for _, b in others[:n])
-
-
-def test_prints_tell_texts_apart(spark):
-    df = spark.createDataFrame([("a b",), ("a  b",), ("",)], "t string")
-    rows = [r[0] for r in df.select(_prints(F.col("t"))).collect()]
-    assert rows[0].fp == rows[1].fp and rows[0].item != rows[1].item and rows[2].fp == 0 and rows[2].sketch == []
-
-
-def test_variants_of_a_removed_text_go_in_groups_of_any_size(spark, docs, monkeypatch):
-    """One base and variants that are similar to it but not to each other: one stays, crowded keys or not."""
-    rng = random.Random(8)
-    base = [f"t{rng.randrange(5000)}" for _ in range(300)]
-    rows = [(100, " ".join(base))]
-    near = simhash.distinct_word_fingerprint(" ".join(base).encode().split())
-    while len(rows) < 31:  # similarity to the base is 276 / 316, to another variant mostly 256 / 336
-        words = list(base)
-        for k in range(4):
-            words[rng.randrange(5, 70) + 75 * k] = f"new{rng.randrange(10**6)}"
-        if (near ^ simhash.distinct_word_fingerprint(" ".join(words).encode().split())).bit_count() <= 5:
-            rows.append((len(rows) - 1, " ".join(words)))
-    texts = dict(rows)
-    assert all(similarity(texts[100], texts[i]) >= 0.85 for i in range(30))
-    assert sum(similarity(texts[0], texts[i]) < 0.8 for i in range(1, 30)) > 10
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    for crowd in (2, 64):
-        monkeypatch.setattr("sediment.llm.dedup.FOLD_OVER", crowd)
-        assert [r.doc_id for r in drop_near_duplicates(frame).collect()] == [0]
-
-
-def test_copies_with_passages_added_or_cut_go(spark):
-    """Against brute force: appended, prepended and cut copies, which move the fingerprint of the words far."""
-    rng = random.Random(12)
-    rows, far = [], 0
-    for i in range(25):
-        words = [f"t{rng.randrange(900)}" for _ in range(rng.randint(60, 300))]
-        foreign = [f"f{rng.randrange(10**6)}" for _ in range(len(words) * 17 // 100)]
-        for k, copy in enumerate((words, words + foreign, foreign + words, words[len(foreign) :], words[: -len(foreign)])[: 1 + i % 5]):
-            rows.append((10 * i + k, " ".join(copy + ["a line that all the texts have"] * (i % 2))))
-    sets = [set(shingle_set(t.encode().split()).tolist()) for _, t in rows]
-    prints = [simhash.distinct_word_fingerprint(t.encode().split()) for _, t in rows]
-    edges = []
-    for a in range(len(rows)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                edges.append((a, b))
-                far += (prints[a] ^ prints[b]).bit_count() > 6
-    assert far > 15
-    root = list(range(len(rows)))
-    for _ in rows:
-        for a, b in edges:
-            root[a] = root[b] = min(root[a], root[b])
-    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == [rows[i][0] for i in sorted(set(root))]
-
-
-def test_similar_sets_share_a_prefix_shingle():
-    rng = random.Random(13)
-    for _ in range(300):
-        both = [rng.getrandbits(60) for _ in range(rng.randint(1, 80))]
-        more = [rng.getrandbits(60) for _ in range(len(both) // 4)]
-        cut = rng.randint(0, len(more))
-        a, b = np.array(sorted(both + more[:cut])), np.array(sorted(both + more[cut:]))
-        frequent = np.array(rng.sample(both, len(both) // 2) + [5], dtype=np.int64)
-        assert set(prefix(a, frequent, 0.8).tolist()) & set(prefix(b, frequent, 0.8).tolist())
-
-
-def test_the_limit_is_exact_for_long_texts(spark):
-    """Pairs of 1000 shared shingles at 0.8 and just below it, in sets too large for the sketch to tell."""
-    rows = []
-    for i in range(20):
-        words = [f"w{i}x{k}" for k in range(1004)]
-        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words + [f"y{i}x{k}" for k in range(250 + i % 2)]))]
-    assert {round(similarity(rows[k][1], rows[k + 1][1]), 4) for k in range(0, 40, 2)} == {0.8, 0.7994}
-    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == [10 * i + k for i in range(20) for k in range(1 + i % 2)]
+    prints = [(r[0], word_simhash(r[1], 3)) for r in rows]
+    of = components([(p, p) for _, p in prints], 2)
+    roots = {}
+    for i, p in prints:
+        roots.setdefault(of[p], []).append((i is None, i or 0, signed(p)))
+    got = sorted((r.doc_id is None, r.doc_id or 0, signed(word_simhash(r.text, 3))) for r in kept.collect())
+    assert got == sorted(min(members) for members in roots.values())
