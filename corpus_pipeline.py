@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from sediment.llm import language, quality
 from sediment.llm.common import fold, free_name, stored
 from sediment.llm.decontaminate import leaks
-from sediment.llm.dedup import drop_near_duplicates
 from sediment.llm.mixing import mix
 from sediment.llm.q_mixing import MAX_EPOCHS, SEED, WEIGHTS, with_tree
+from sediment.llm.q_simhash import MAX_DISTANCE, WIDTH
 from sediment.llm.registry import table
+from sediment.llm.simhash import one_of_each
 
 #: Languages with a lower score are as good as guessed among those that were learned.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -41,8 +42,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
-    return drop_near_duplicates(docs)
+    """Keeps one document of each class of linked fingerprints, by the shingles and the distance of ``op8_simhash``."""
+    return one_of_each(docs, width=WIDTH, max_distance=MAX_DISTANCE)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
