@@ -42,9 +42,9 @@ from sediment.operators import reduce as red
 from sediment.operators.documents import explode_json
 from sediment.operators.quarantine import REASON_INVALID_KEY, KeyRule, quarantine
 from sediment.operators.star import attach, build_mart, dim_date, dim_entity, dim_place
-from sediment.sources.ingest import delimited_reader, document_reader, ingest_one, ingest_snapshots
+from sediment.sources.ingest import delimited_reader, document_reader, element_reader, ingest_one, ingest_snapshots
 from sediment.sources.layers import write_layer
-from sediment.sources.provenance import DOCUMENT, ORIGIN, RECORD_NUMBER, VERSION
+from sediment.sources.provenance import DOCUMENT, ELEMENT, ORIGIN, RECORD_NUMBER, VERSION
 from sediment.sources.snapshots import SnapshotTable
 
 # --- Fixed values: positions, names and domains of the published data ---------------------------
@@ -84,6 +84,7 @@ CATEGORY = [("PID%", "PID"), ("%PRÉDIO AVULSO%", "PREDIO_AVULSO")]
 CATEGORY_DEFAULT = "IMOVEL_INSTITUCIONAL"
 TENURE = {"próprio": "PROPRIO", "cedido": "CEDIDO", "alugado": "ALUGADO"}
 STATES = ["MS"]
+SURVEYS = "$.vistorias"
 SURVEY_TYPE = (
     "struct<id_predio:string,nome_na_fonte:string,data_referencia:string,sanitarios:string,reservatorios:string,"
     "loucas:struct<vasos_declarados:string,mictorios_declarados:string,lavatorios_declarados:string>>"
@@ -169,8 +170,14 @@ def stage_measure(raw: DataFrame) -> DataFrame:
 
 
 def stage_survey(raw: DataFrame) -> DataFrame:
-    """One row per survey in the document; its collections stay JSON text for their own models."""
-    rows = explode_json(raw, DOCUMENT, "$.vistorias", "s", SURVEY_TYPE)
+    """One row per survey in the document; its collections stay JSON text for their own models.
+
+    ``raw`` has whole documents, or their surveys landed one by one.
+    """
+    if ELEMENT in raw.columns:
+        rows = raw.withColumn("s", F.from_json(ELEMENT, SURVEY_TYPE, {"mode": "FAILFAST"}))
+    else:
+        rows = explode_json(raw, DOCUMENT, SURVEYS, "s", SURVEY_TYPE)
     fittings = {n: safe_int(F.col(f"s.loucas.{n}_declarados")) for n in ("vasos", "mictorios", "lavatorios")}
     return rows.select(
         safe_int("s.id_predio").alias(KEY),
@@ -435,11 +442,13 @@ def run(
     root: str | None = None,
     expected: Mapping[str, Mapping[str, object] | int] | None = None,
     minimum_registers: int = 2,
+    large_surveys: bool = False,
 ) -> Run:
     """Ingest the raw sources, build every layer, store it and check it.
 
     ``registers`` are the register snapshots, named by their date; ``measures`` and ``surveys`` are
-    single sources of ``reference_date``. The first failing stage ends the run, and so does any
+    single sources of ``reference_date``. With ``large_surveys`` the survey documents are landed by their elements,
+    so that no task holds a whole one. The first failing stage ends the run, and so does any
     failed expectation.
     """
     out = out_dir.rstrip("/")
@@ -453,7 +462,8 @@ def run(
         csv = delimited_reader(spark, root)
         ingest_snapshots(bronze["imoveis"], registers, csv, minimum_registers)
         ingest_one(bronze["patrimonio"], measures, csv, reference_date)
-        ingest_one(bronze["infraestrutura_predial"], surveys, document_reader(spark, root), reference_date)
+        documents = element_reader(spark, SURVEYS, root) if large_surveys else document_reader(spark, root)
+        ingest_one(bronze["infraestrutura_predial"], surveys, documents, reference_date)
 
     def silver() -> None:
         register = bronze["imoveis"].current()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sediment.sources.delimited import read_delimited_raw
 from sediment.sources.documents import read_document_raw
+from sediment.sources.elements import read_elements_raw
 from sediment.sources.provenance import source_hash, source_hashes
 from sediment.sources.snapshots import SnapshotTable
 
@@ -26,6 +27,11 @@ def document_reader(spark: SparkSession, root: str | None = None) -> Reader:
     return lambda path, label, content_hash: read_document_raw(spark, path, label, root, content_hash)
 
 
+def element_reader(spark: SparkSession, path: str, root: str | None = None) -> Reader:
+    """For documents that are too large for one value: the elements of the array at ``path``, a row each."""
+    return lambda source, label, content_hash: read_elements_raw(spark, source, label, path, root, content_hash)
+
+
 def label_of(path: str) -> str:
     """Version label of a source: its file or folder name without the extension."""
     return re.sub(r"\.[A-Za-z0-9]+$", "", path.rstrip("/").rsplit("/", 1)[-1])

@@ -19,6 +19,7 @@ INGESTED_AT = "_ingerido_em"
 CONTENT_HASH = "_hash_arquivo"
 RECORD_NUMBER = "_linha_origem"
 DOCUMENT = "conteudo_json"
+ELEMENT = "elemento_json"
 POSITION_PREFIX = "col_"
 
 # Scheme and leading slashes: the same file is written with one or three of them.
