@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star", "metrics", "text", "nested", "quality", "landing", "portfolio")
+MODULES = ("star", "metrics", "text", "nested", "quality", "landing", "portfolio", "dated")
 
 
 def load():

@@ -59,6 +59,48 @@ def summary(
     return mart.groupBy(*by).agg(*aggs)
 
 
+PARTIAL = ("rows_n", "measured_n", "index_n", "eligible_n", "index_sum", "num_sum", "den_sum")
+
+
+def partial_summary(
+    mart: DataFrame, by: Sequence[str], index: str, num: str, den: str, eligible: str, measured: str | None = None
+) -> DataFrame:
+    """Sums from which :func:`merge_summaries` makes the figures of :func:`summary` for any union of the groups.
+
+    Counts, and sums in decimals wide enough to be exact, so the order of rows and merges does not matter. The index is
+    taken with its four decimals.
+    """
+    keep = F.col(eligible)
+    exact = lambda c, digits: c.cast(f"decimal(28,{digits})")
+    aggs = [
+        F.count(F.lit(1)),
+        F.count_if(F.col(measured)) if measured else F.lit(0).cast("bigint"),
+        F.count(index),
+        F.count_if(keep),
+        F.sum(exact(F.col(index), 4)),
+        F.sum(F.when(keep, exact(F.col(num), 4))),
+        F.sum(F.when(keep, exact(F.col(den), 4))),
+    ]
+    return mart.groupBy(*by).agg(*[a.alias(n) for a, n in zip(aggs, PARTIAL, strict=True)])
+
+
+def merge_summaries(
+    partials: DataFrame, by: Sequence[str], measured: bool = False, names: Mapping[str, str] | None = None, digits: int = 2
+) -> DataFrame:
+    """The summary by the given columns, from stored partial sums of the same or finer groups."""
+    out = {"rows": "rows", "measured": "measured", "eligible": "eligible", "mean": "mean_index", "pooled": "pooled_index", **(names or {})}
+    total = {n: F.sum(n).cast("double") for n in PARTIAL}
+    aggs = [F.sum("rows_n").alias(out["rows"])]
+    if measured:
+        aggs.append(F.sum("measured_n").alias(out["measured"]))
+    aggs += [
+        F.sum("index_n").alias(out["eligible"]),
+        half_up(F.try_divide(total["index_sum"], total["index_n"]), digits).alias(out["mean"]),
+        half_up(F.try_divide(F.lit(100.0) * total["num_sum"], total["den_sum"]), digits).alias(out["pooled"]),
+    ]
+    return partials.groupBy(*by).agg(*aggs)
+
+
 def coverage(df: DataFrame, cols: Mapping[str, str], total: str = "total") -> DataFrame:
     """Row count and non-null count of each column (output name -> column), in one global pass."""
     return df.agg(

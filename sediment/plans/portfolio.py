@@ -44,6 +44,7 @@ from sediment.operators.quarantine import REASON_INVALID_KEY, KeyRule, quarantin
 from sediment.operators.star import attach, build_mart, dim_date, dim_entity, dim_place
 from sediment.sources.ingest import delimited_reader, document_reader, element_reader, ingest_one, ingest_snapshots
 from sediment.sources.layers import write_layer
+from sediment.sources.partitions import read_partitions, replace_partitions
 from sediment.sources.provenance import DOCUMENT, ELEMENT, ORIGIN, RECORD_NUMBER, VERSION
 from sediment.sources.snapshots import SnapshotTable
 
@@ -300,15 +301,37 @@ def wide_mart(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame
     )
 
 
+FIGURES = ("indice_aproveitamento_pct", "area_construida_m2", "area_terreno_m2", "elegivel_indice_aproveitamento")
+PARTIAL_SUMS = "somas_aproveitamento"
+
+
+def partial_answers(mart: DataFrame) -> DataFrame:
+    """Sums by date, district and status, from which answers over any dates are merged."""
+    return metrics.partial_summary(mart, [DATE, "comarca", "situacao_patrimonial"], *FIGURES, measured="tem_medicao_patrimonial")
+
+
+def answer_over(spark: SparkSession, out_dir: str, by: Sequence[str] = (DATE,), dates: Sequence[str] | None = None) -> DataFrame:
+    """The answer by the given columns over all dates of a job that keeps them, or over the given ones.
+
+    Read from the stored sums: neither fact nor mart is touched.
+    """
+    sums = read_partitions(spark, f"{out_dir.rstrip('/')}/gold", PARTIAL_SUMS, dates)
+    return metrics.merge_summaries(sums, by, True, SUMMARY_NAMES)
+
+
+def history(spark: SparkSession, out_dir: str, name: str = "fato_imovel_snapshot") -> DataFrame:
+    """Fact or mart rows of all dates of a job that keeps them."""
+    return read_partitions(spark, f"{out_dir.rstrip('/')}/gold", name)
+
+
 def answers(mart: DataFrame) -> dict[str, DataFrame]:
     """The overall answer with its coverage, and the same by district and status."""
-    figures = ("indice_aproveitamento_pct", "area_construida_m2", "area_terreno_m2", "elegivel_indice_aproveitamento")
     return {
         "agg_aproveitamento_geral": metrics.summary(
-            mart, [DATE], *figures, measured="tem_medicao_patrimonial", names=SUMMARY_NAMES
+            mart, [DATE], *FIGURES, measured="tem_medicao_patrimonial", names=SUMMARY_NAMES
         ),
         "agg_aproveitamento_comarca": metrics.summary(
-            mart, [DATE, "comarca", "situacao_patrimonial"], *figures, names=SUMMARY_NAMES
+            mart, [DATE, "comarca", "situacao_patrimonial"], *FIGURES, names=SUMMARY_NAMES
         ),
     }
 
@@ -443,12 +466,15 @@ def run(
     expected: Mapping[str, Mapping[str, object] | int] | None = None,
     minimum_registers: int = 2,
     large_surveys: bool = False,
+    keep_dates: bool = False,
 ) -> Run:
     """Ingest the raw sources, build every layer, store it and check it.
 
     ``registers`` are the register snapshots, named by their date; ``measures`` and ``surveys`` are
     single sources of ``reference_date``. With ``large_surveys`` the survey documents are landed by their elements,
-    so that no task holds a whole one. The first failing stage ends the run, and so does any
+    so that no task holds a whole one. With ``keep_dates`` fact, mart and partial answers keep the rows of earlier dates:
+    a run replaces those of the newest register's date only (see :func:`history` and :func:`answer_over`), while the
+    tables of the run and its checks are about that date. The first failing stage ends the run, and so does any
     failed expectation.
     """
     out = out_dir.rstrip("/")
@@ -458,6 +484,13 @@ def run(
     def store(layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         done.tables[name] = write_layer(df, f"{out}/{layer}", name, partition_by)
 
+    def store_dated(name: str, df: DataFrame) -> None:
+        if keep_dates:
+            newest = bronze["imoveis"].latest().label
+            done.tables[name] = replace_partitions(df, f"{out}/gold", name, DATE, [newest])
+        else:
+            store("gold", name, df)
+
     def ingest() -> None:
         csv = delimited_reader(spark, root)
         ingest_snapshots(bronze["imoveis"], registers, csv, minimum_registers)
@@ -484,8 +517,10 @@ def run(
             reduce_items(t["stg_sanitarios"], t["stg_vistorias"]),
             reduce_capacity(t["stg_reservatorios"]),
         )
-        store("gold", "fato_imovel_snapshot", fact)
-        store("gold", "mart_indicadores_imoveis", wide_mart(t["fato_imovel_snapshot"], t))
+        store_dated("fato_imovel_snapshot", fact)
+        store_dated("mart_indicadores_imoveis", wide_mart(t["fato_imovel_snapshot"], t))
+        if keep_dates:
+            store_dated(PARTIAL_SUMS, partial_answers(t["mart_indicadores_imoveis"]))
         for name, df in answers(t["mart_indicadores_imoveis"]).items():
             store("gold", name, df)
 
