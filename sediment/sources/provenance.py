@@ -100,8 +100,8 @@ def _fingerprint(*row: Column) -> Column:
     )
 
 
-def frame_fingerprint(df: DataFrame) -> str:
-    """Content hash of a DataFrame: the same rows give the same hash in any order and layout."""
+def row_cells(df: DataFrame) -> list[Column]:
+    """What a hash of a row is taken over: all cells by column name, and whether each is missing."""
     cells: list[Column] = []
     for field in sorted(df.schema.fields, key=lambda f: f.name):
         if isinstance(field.dataType, NESTED):
@@ -110,6 +110,12 @@ def frame_fingerprint(df: DataFrame) -> str:
         else:
             # The hash passes over NULL, so whether the cell is missing goes in as well.
             cells += [F.col(field.name), F.col(field.name).isNull()]
+    return cells
+
+
+def frame_fingerprint(df: DataFrame) -> str:
+    """Content hash of a DataFrame: the same rows give the same hash in any order and layout."""
+    cells = row_cells(df)
     schema = ",".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema))
     mark = _fingerprint(*cells) if cells else F.count(F.lit(1)).cast("string")
     return df.agg(F.sha2(F.concat_ws(":", F.lit(schema), mark), 256)).first()[0]
