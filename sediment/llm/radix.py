@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from sediment.llm.common import stored
 
 #: Bytes of the digits of the first rounds; the last width is used for all further rounds and bounds the size of a key.
-WIDTHS = (32, 512, 8192, 131072, 1048576)
+WIDTHS = (128, 2048, 32768, 524288)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,7 +38,8 @@ def _partition(rows: DataFrame, width: int, carry: Sequence[str]) -> DataFrame:
     keyed = rows.select("id", "group", *carry, F.substring("rest", 1, width).alias("digit"), F.expr(f"substring(rest, {width + 1})").alias("rest"))
     groups = keyed.groupBy("group", "digit").agg(F.count(F.lit(1)).alias("group_size"), F.max("id").alias("keep_id")).where("group_size > 1")
     groups = stored(groups.withColumn("next", F.monotonically_increasing_id()), "radix-groups")
-    found = keyed.join(groups, ["group", "digit"], "left")
+    # rows meet their group by a merge join at every size: a hot group is split there, and no group table is broadcast
+    found = keyed.join(groups.hint("merge"), ["group", "digit"], "left")
     ended = F.octet_length("digit") < width
     goes_on = F.col("next").isNotNull() & ~ended
     return found.select(
@@ -58,7 +59,7 @@ def _left(round_: DataFrame, carry: Sequence[str]) -> DataFrame:
     alone = left.where("group is null").select("id", "keep_id", "group_size", F.lit(True).alias("kept"), *carry)
     groups = left.where("group is not null")
     stays = groups.where("id <=> keep_id").groupBy("group").agg(F.min("row").alias("first"))
-    equal = groups.join(stays, "group").select("id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), *carry)
+    equal = groups.join(stays.hint("merge"), "group").select("id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), *carry)
     return alone.unionByName(equal)
 
 
