@@ -154,8 +154,9 @@ def build(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, centres: int | None =
         radii[1][s.j] = max(radii[1][s.j], s.e)
     cells = {(s.i, s.j): (s.n, -(-s.n // block_rows)) for s in stats}
     # rows of a cell are dealt to blocks by a hash, so that a cell of very many rows, even equal ones, is no hot group
+    # the table of cells has at most MOST_CENTRES squared rows; broadcast, it does not bring the rows of a cell together
     sizes = rows.sparkSession.createDataFrame([(i, j, b) for (i, j), (_, b) in cells.items()] or [(-1, -1, 1)], "i int, j int, blocks int")
-    dealt = coded.join(sizes, ["i", "j"]).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    dealt = coded.join(F.broadcast(sizes), ["i", "j"]).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
 
     def gather(t: pa.Table) -> pa.Table:
         one = [[t["i"][0].as_py()], [t["j"][0].as_py()], [t["block"][0].as_py()]]
@@ -283,7 +284,7 @@ def search(queries: DataFrame, index: Index, k: int, same_label: bool, first_row
         share = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"))
         packs = pairs.join(share, ["i", "j"]).withColumn("pack", F.pmod(dealt, F.ceil(F.col("n") / PACK)))
         packs = packs.groupBy("i", "j", "pack").agg(F.collect_list(F.struct("query", "row", "label", "vec", "lo", "hi")).alias("pack_"))
-        met = packs.join(counts, ["i", "j"]).select("i", "j", F.col("pack_").alias("pack"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+        met = packs.join(F.broadcast(counts), ["i", "j"]).select("i", "j", F.col("pack_").alias("pack"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
         met = met.join(index.blocks, ["i", "j", "block"]).select("pack", "rows", "ids", "labels", "vecs")
         run, schema = _best(index.cells, k, same_label)
         found = best.unionByName(met.mapInArrow(run, schema)).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).drop("rank")
@@ -291,7 +292,9 @@ def search(queries: DataFrame, index: Index, k: int, same_label: bool, first_row
         last = best.groupBy("query").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("last"))
         certified = (F.col("frontier") == -math.inf) | (F.coalesce("found", F.lit(0)) >= k) & (F.col("last") > F.col("frontier"))
         open_ = probed.join(last, "query", "left").where(~F.coalesce(certified, F.lit(False)))
-        open_ = stored(open_.select("query", "row", "label", "vec", "lo", "hi", "visited"), "open")
+        # from now on only rows count that score no less than the last of k known ones
+        known = F.when(F.col("found") >= k, F.greatest("lo", "last")).otherwise(F.col("lo"))
+        open_ = stored(open_.select("query", "row", "label", "vec", known.alias("lo"), "hi", "visited"), "open")
         want *= 4
     return best.withColumn("rank", F.row_number().over(rank)).select("query", "rank", "score", "id", "row")
 
