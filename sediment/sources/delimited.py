@@ -2,7 +2,7 @@
 
 The files are split by Spark's text source, so one large file is read by many tasks. Records whose
 quoted fields hold line breaks are found by following the open/closed state of quotes from line to
-line: within a block of the file by a window, across blocks by their summaries.
+line: within a block by the task that reads it, across blocks by their summaries (see ``profile.py``).
 """
 
 from __future__ import annotations
@@ -14,17 +14,16 @@ from pyspark.sql import functions as F
 
 from sediment.session import TARGET_PARTITION_BYTES
 from sediment.sources.files import content_size, walk
+from sediment.sources.profile import BLOCK, Profile, gather
 from sediment.sources.provenance import (
     POSITION_PREFIX,
     RECORD_NUMBER,
     file_path,
     _as_list,
-    file_hashes,
     relative_to,
     with_provenance,
 )
 
-BLOCK = ["_file", "_block"]
 LINE_END = r"\r\z"
 # A block row is a path and three numbers: a million of them stay within a few hundred megabytes.
 BROADCAST_BLOCKS = 1_000_000
@@ -63,6 +62,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.col("value").alias("_text"),
             file_path().alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_size").alias("_size"),
             F.monotonically_increasing_id().alias("_pos"),
         )
     )
@@ -99,142 +99,61 @@ def with_record_number(df: DataFrame, name: str = RECORD_NUMBER, blocks_known: i
     ).drop("_offset", "_first")
 
 
-def _records_by_line(spark: SparkSession, paths, sep: str) -> DataFrame:
-    """Each line is a record; a quote left open stops the job instead of splitting a record."""
-    lines = with_record_number(read_lines(spark, paths), "_record", block_count(spark, paths))
-    guarded = F.when(
-        _leaves_open(F.col("_text"), sep),
-        F.raise_error(F.lit("a quoted field holds a line break: read with multiline=True")).cast("string"),
-    ).otherwise(F.regexp_replace("_text", LINE_END, ""))
-    return lines.select("_file", "_record", guarded.alias("_text"))
-
-
-def line_profile(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> tuple[bool, int]:
-    """Whether any line leaves a quoted field open, and the most fields on a line taken by itself.
-
-    One narrow pass with a one-row result. The width is that of the records when no line is left open.
-    """
-    line = F.regexp_replace("_text", LINE_END, "")
-    row = read_lines(spark, paths).select("_text").agg(
-        F.bool_or(_leaves_open(F.col("_text"), sep)), F.max(F.size(_split_fields(line, sep)))
-    ).first()
-    return bool(row[0]), row[1] or 0
-
-
-def _with_state(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Follow the quote state over ordered rows.
-
-    A row sets the state to ``_to`` when ``_sets`` is true, and otherwise flips it when ``_flips`` is
-    one. The state in front of a row is ``(_base + _earlier) mod 2``; ``_base`` is NULL while no
-    earlier row has set it, and the state at entry stands in for it (see :func:`_open_given`).
-    """
-    w = Window.partitionBy(*keys).orderBy(order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+def lines_with_effect(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> DataFrame:
+    """Lines with what each does to the quote state, begun closed (``_c``) and begun open (``_o``), and its separators outside quotes."""
+    text = F.col("_text")
+    quoted = F.contains(text, F.lit('"'))
+    behind = F.concat(F.lit('"'), text)
+    plain = F.when(F.endswith(text, F.lit("\r")), F.expr("left(_text, length(_text) - 1)")).otherwise(text)
+    count = F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))
+    # an empty record has no field, hence one separator less than none
+    separators = F.when(quoted, F.size(_split_fields(plain, sep)) - 1).when(plain == "", -1).otherwise(count)
     return (
-        df.withColumn("_upto", F.sum("_flips").over(upto))
-        .withColumn("_anchor", F.when(F.col("_sets"), F.col("_to") + F.col("_upto")))
+        read_lines(spark, paths)
         .withColumns(
             {
-                "_base": F.last("_anchor", ignorenulls=True).over(earlier),
-                "_earlier": F.col("_upto") - F.col("_flips"),
+                "_c": quoted & _leaves_open(text, sep),
+                "_o": ~quoted | _leaves_open(behind, sep),
+                "_s0": separators,
+                "_s1": F.when(quoted, F.size(_split_fields(behind, sep)) - 1).otherwise(0),
             }
         )
     )
 
 
-def _open_given(entry: Column) -> Column:
-    return F.pmod(F.coalesce(F.col("_base"), entry) + F.col("_earlier"), F.lit(2)) == 1
+def profile(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> Profile:
+    """One pass over the text: all that reading, hashing and numbering its records need to know of its blocks."""
+    return Profile(lines_with_effect(spark, paths, sep))
 
 
-def _lines_with_effect(spark: SparkSession, paths, sep: str) -> DataFrame:
-    """Lines with what each does to the quote state, begun closed (``_c``) and begun open (``_o``)."""
-    text = F.col("_text")
-    effect = {"_c": _leaves_open(text, sep), "_o": _leaves_open(F.concat(F.lit('"'), text), sep)}
-    return read_lines(spark, paths).withColumns(effect).withColumns(
-        {
-            "_sets": F.col("_c") == F.col("_o"),
-            "_to": F.col("_c").cast("int"),
-            "_flips": (F.col("_c") & ~F.col("_o")).cast("int"),
-        }
-    )
-
-
-def _block_table(lines: DataFrame) -> DataFrame:
-    """Per block: quote state at entry, records begun earlier in the file, and the last earlier block
-    in which a record begins. Lines travel without their text here."""
-    inside = _with_state(lines.withColumn("_length", F.length("_text") + 1).drop("_text"), BLOCK, "_pos")
-    begun = {f"_begun{e}": F.count_if(~_open_given(F.lit(e))) for e in (0, 1)}
-    first = F.min(F.when(~_open_given(F.lit(1)), F.col("_pos"))).over(Window.partitionBy(*BLOCK))
-    inside = inside.withColumn("_in_front", F.coalesce(F.col("_pos") < first, F.lit(True)))
-    summary = inside.groupBy(*BLOCK).agg(
-        F.sum("_flips").alias("_total"),
-        F.max_by("_anchor", F.when(F.col("_sets"), F.col("_pos"))).alias("_last"),
-        *[c.alias(name) for name, c in begun.items()],
-        F.coalesce(F.sum(F.when(F.col("_in_front"), F.col("_length"))), F.lit(0)).alias("_front"),
-    )
-    effects = summary.withColumns(
-        {
-            "_sets": F.col("_last").isNotNull(),
-            "_to": F.pmod(F.col("_last") + F.col("_total"), F.lit(2)),
-            "_flips": F.when(F.col("_last").isNull(), F.pmod("_total", F.lit(2))).otherwise(F.lit(0)),
-        }
-    )
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    opened = _with_state(effects, ["_file"], "_block").withColumn("_entry", _open_given(F.lit(0)))
-    counted = opened.withColumn("_n", F.when(F.col("_entry"), F.col("_begun1")).otherwise(F.col("_begun0")))
-    placed = counted.select(
-        *BLOCK,
-        F.col("_entry").cast("int").alias("_entry"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.last(F.when(F.col("_n") > 0, F.col("_block")), ignorenulls=True).over(before).alias("_owner"),
-        F.when(F.col("_entry"), F.col("_front")).otherwise(0).alias("_front"),
-    )
-    # What later blocks add to the last record of a block, so a record's length is known before it is gathered.
-    return placed.withColumn("_added", F.sum("_front").over(Window.partitionBy("_file", "_owner"))).drop("_front")
-
+def _records_by_line(spark: SparkSession, paths, sep: str, known: Profile) -> DataFrame:
+    """Each line is a record; a quote left open stops the job instead of splitting a record."""
+    lines = _with_block(read_lines(spark, paths), known, "_first", "_offset")
+    guarded = F.when(
+        _leaves_open(F.col("_text"), sep),
+        F.raise_error(F.lit("a quoted field holds a line break: read with multiline=True")).cast("string"),
+    ).otherwise(F.regexp_replace("_text", LINE_END, ""))
+    return lines.select("_file", (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).alias("_record"), guarded.alias("_text"))
 
-def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: int) -> DataFrame:
-    lines = _lines_with_effect(spark, paths, sep)
-    blocks = _block_table(lines)
-    by_position = Window.partitionBy(*BLOCK).orderBy("_pos")
-    upto = by_position.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def placed(block_rows: DataFrame) -> DataFrame:
-        """Lines of these blocks with the number of records begun in the block up to the line."""
-        state = _with_state(lines.join(block_rows, BLOCK), BLOCK, "_pos").withColumn(
-            "_open", _open_given(F.col("_entry"))
-        )
-        ends_open = F.when(F.col("_open"), F.col("_o")).otherwise(F.col("_c"))
-        piece = F.when(F.col("_ends_open"), F.col("_text")).otherwise(F.regexp_replace("_text", LINE_END, ""))
-        return state.withColumns(
-            {"_local": F.sum((~F.col("_open")).cast("bigint")).over(upto), "_ends_open": ends_open}
-        ).withColumn("_piece", _within_limit(piece, F.coalesce("_added", F.lit(0)), record_limit))
-
-    records = (
-        placed(blocks)
-        .filter(F.col("_local") > 0)
-        .groupBy(*BLOCK, (F.col("_offset") + F.col("_local")).alias("_record"))
-        .agg(_in_order("_pos").alias("_text"), F.max_by("_ends_open", "_pos").alias("_ends_open"))
-    )
-    # The front of a block may finish a record begun in an earlier block: it moves to that block.
-    # A quote that is never closed is noticed by the length of all fronts, before anything is gathered.
-    fronts = (
-        placed(blocks.filter(F.col("_entry") == 1))
-        .filter(F.col("_local") == 0)
-        .groupBy("_file", F.col("_owner").alias("_block"))
-        .agg(_in_order("_block", "_pos").alias("_rest"))
-    )
-    whole = F.when(
-        F.col("_ends_open") & F.col("_rest").isNotNull(), F.concat("_text", F.lit("\n"), "_rest")
-    ).otherwise(F.col("_text"))
-    whole = _within_limit(whole, F.length(whole), record_limit)  # the same limit for records inside a block
-    return records.join(fronts, BLOCK, "left").select("_file", "_record", whole.alias("_text"))
+def _with_block(lines: DataFrame, known: Profile, *columns: str) -> DataFrame:
+    """Lines with columns of their block's row, in order within each block; a line that lost its block stops the job."""
+    count = known.facts[0]
+    blocks = known.placed().select(*BLOCK, *columns)
+    joined = lines.join(F.broadcast(blocks) if count <= BROADCAST_BLOCKS else blocks, BLOCK, "left")
+    changed = F.raise_error(F.lit("file blocks changed between passes")).cast("bigint")
+    joined = joined.withColumns({c: F.coalesce(F.col(c), changed) for c in columns})
+    return joined if count <= BROADCAST_BLOCKS else joined.sortWithinPartitions(*BLOCK, "_pos")
 
 
-def _in_order(*order: str) -> Column:
-    pieces = F.array_sort(F.collect_list(F.struct(*order, "_piece")))
-    return F.array_join(F.transform(pieces, lambda p: p["_piece"]), "\n")
+def _records_across_lines(spark: SparkSession, paths, sep: str, record_limit: int, known: Profile) -> DataFrame:
+    lines = _with_block(lines_with_effect(spark, paths, sep).select(*BLOCK, "_pos", "_text", "_c", "_o"), known, "_entry", "_offset", "_added")
+    run, schema = gather(record_limit)
+    parts = lines.drop("_pos").mapInArrow(run, schema)
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_piece")))
+    whole = F.array_join(F.transform(pieces, lambda p: p["_piece"]), "\n")
+    records = parts.groupBy("_file", "_record").agg(whole.alias("_text"))
+    return records.select("_file", "_record", _within_limit(F.col("_text"), F.length("_text"), record_limit).alias("_text"))
 
 
 def _within_limit(value: Column, size: Column, limit: int) -> Column:
@@ -272,18 +191,19 @@ def read_records(
     sep: str = ";",
     multiline: bool | None = None,
     record_limit: int = 64 * 1024 * 1024,
+    known: Profile | None = None,
 ) -> DataFrame:
     """``_file, _record, fields``: every record of every file with its ordinal and its fields.
 
-    By default one pass looks whether any quoted field holds a line break; only then is the plan
-    that joins lines used. Text is UTF-8, with or without a byte-order mark; lines end in LF or CRLF.
+    The text is read twice: for its :func:`profile`, unless one of the same paths is given, and for the records. By
+    default records are put together from lines only where the profile has a quoted field with a line break. Text is
+    UTF-8, with or without a byte-order mark; lines end in LF or CRLF.
     """
-    if multiline is None:
-        multiline, _ = line_profile(spark, paths, sep)
-    if multiline:
-        records = _records_across_lines(spark, paths, sep, record_limit)
+    known = known or profile(spark, paths, sep)
+    if known.facts[1] if multiline is None else multiline:
+        records = _records_across_lines(spark, paths, sep, record_limit, known)
     else:
-        records = _records_by_line(spark, paths, sep)
+        records = _records_by_line(spark, paths, sep, known)
     return records.select("_file", "_record", _split_fields(F.col("_text"), sep).alias("fields"))
 
 
@@ -300,21 +220,17 @@ def read_delimited_raw(
     multiline: bool | None = None,
     width: int | None = None,
     content_hash: str | None = None,
+    known: Profile | None = None,
 ) -> DataFrame:
     """Positional text columns plus record ordinal and provenance.
 
-    Records shorter than the widest are padded with empty text. When records span lines and no
-    ``width`` is given, one more pass over the assembled records finds it, so give it for large
-    files of that kind: it is the number of columns, and a record with more fields stops the job.
-    Without ``content_hash`` each file's own hash is joined.
+    Records shorter than the widest are padded with empty text. ``width`` is the number of columns, that of the widest
+    record if it is not given; a record with more fields stops the job. Without ``content_hash`` each file's own hash is
+    joined. Width, hash and record numbers come from one :func:`profile` of the text, which may be given.
     """
-    if multiline is None:
-        multiline, widest = line_profile(spark, paths, sep)
-        if width is None and not multiline:
-            width = widest
-    records = read_records(spark, paths, sep, multiline)
-    if width is None:
-        width = records.agg(F.max(F.size("fields"))).first()[0] or 0
+    known = known or profile(spark, paths, sep)
+    records = read_records(spark, paths, sep, multiline, known=known)
+    width = known.facts[2] if width is None else width
     message = F.concat(F.lit("record "), F.col("_record"), F.lit(f" has more than {width} fields in "), F.col("_file"))
     records = records.withColumn(
         "fields", F.when(F.size("fields") <= width, F.col("fields")).otherwise(F.raise_error(message).cast("array<string>"))
@@ -327,7 +243,7 @@ def read_delimited_raw(
     origin = relative_to(F.col("_file"), root)
     if content_hash is not None:
         return with_provenance(numbered, version, content_hash, origin).drop("_file")
-    hashes = file_hashes(spark, paths).select(F.col("path").alias("_file"), F.col("hash").alias("_sha"))
+    hashes = known.hashes().select(F.col("path").alias("_file"), F.col("hash").alias("_sha"))
     landed = with_provenance(numbered.join(hashes, "_file"), version, F.col("_sha"), origin)
     return landed.drop("_file", "_sha")
 

@@ -7,20 +7,42 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sediment.sources.delimited import read_delimited_raw
+from sediment.sources.delimited import profile, read_delimited_raw
 from sediment.sources.documents import read_document_raw
 from sediment.sources.elements import read_elements_raw
-from sediment.sources.provenance import source_hash, source_hashes
+from sediment.sources.profile import Profile
+from sediment.sources.provenance import source_hashes
 from sediment.sources.snapshots import SnapshotTable
 
 # A reader gets the source path, its version label and its content hash.
 Reader = Callable[[str, str, str], DataFrame]
 
 
+class DelimitedReader:
+    """Reads delimited sources. The profile that gives a source's content hash also serves to read it, so a source is read twice in all."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, sep: str = ";", **options):
+        self.spark, self.root, self.sep, self.options = spark, root, sep, options
+        self._profiles: dict[str, Profile] = {}
+
+    def content_hash(self, path: str) -> str:
+        self._profiles[path] = profile(self.spark, path, self.sep)
+        return source_hashes(self.spark, [path], self._profiles[path].hashes())[path]
+
+    def __call__(self, path: str, label: str, content_hash: str) -> DataFrame:
+        known = self._profiles.pop(path, None)
+        return read_delimited_raw(self.spark, path, label, self.sep, self.root, content_hash=content_hash, known=known, **self.options)
+
+
 def delimited_reader(spark: SparkSession, root: str | None = None, sep: str = ";", **options) -> Reader:
-    return lambda path, label, content_hash: read_delimited_raw(
-        spark, path, label, sep, root, content_hash=content_hash, **options
-    )
+    return DelimitedReader(spark, root, sep, **options)
+
+
+def _content(spark: SparkSession, paths: Sequence[str], read: Reader) -> dict[str, str]:
+    """Content hash of each source, by the reader if it finds it on its way."""
+    if hasattr(read, "content_hash"):
+        return {path: read.content_hash(path) for path in paths}
+    return source_hashes(spark, paths)
 
 
 def document_reader(spark: SparkSession, root: str | None = None) -> Reader:
@@ -39,7 +61,7 @@ def label_of(path: str) -> str:
 
 def ingest_one(table: SnapshotTable, path: str, read: Reader, version: str | None = None) -> bool:
     """Land one source as the current snapshot; False when its content already is current."""
-    content_hash = source_hash(table.spark, path)
+    content_hash = _content(table.spark, [path], read)[path]
     label = label_of(path) if version is None else version
     if table.current_hash() == content_hash:
         return False
@@ -61,7 +83,7 @@ def ingest_snapshots(
     ordered = sorted(paths, key=label_of)
     if len(ordered) < minimum:
         raise FileNotFoundError(f"{minimum} snapshots are needed, {len(ordered)} found")
-    content = source_hashes(table.spark, ordered)
+    content = _content(table.spark, ordered, read)
     seen = table.history()
     written: list[int] = []
 

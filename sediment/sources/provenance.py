@@ -81,8 +81,15 @@ def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     blocks = lines.groupBy("path", "length", "_block").agg(
         F.count(F.lit(1)).alias("_lines"), F.min("_pos").alias("_first"), *[c.alias(n) for n, c in {**sums, **placed}.items()]
     )
+    return file_hashes_of_blocks(blocks.withColumns({f"_p{k}": F.col(f"_p{k}") - F.col(f"_s{k}") * F.col("_first") for k in (1, 2)}))
+
+
+def file_hashes_of_blocks(blocks: DataFrame) -> DataFrame:
+    """``path, length, hash`` from one row per block: lines, sums of both line hashes (``_s``), and sums with each hash times the
+    number of its line in the block, from 0 (``_p``)."""
+    wide = lambda c: c.cast("decimal(38,0)")
     before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first"))
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
     moved = [F.sum(wide(F.col(f"_p{k}") + wide(F.col(f"_s{k}")) * wide(F.col("_offset")))).cast("string") for k in (1, 2)]
     plain = [F.sum(f"_s{k}").cast("string") for k in (1, 2)]
     mark = F.concat_ws(":", F.col("length").cast("string"), F.sum("_lines").cast("string"), *plain, *moved)
@@ -121,11 +128,11 @@ def frame_fingerprint(df: DataFrame) -> str:
     return df.agg(F.sha2(F.concat_ws(":", F.lit(schema), mark), 256)).first()[0]
 
 
-def source_hashes(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+def source_hashes(spark: SparkSession, paths: Sequence[str], files: DataFrame | None = None) -> dict[str, str]:
     """Content hash of each source, all in one pass: that of a single file, or a mark over the hashes of
-    the files of a folder, whatever their names."""
+    the files of a folder, whatever their names. ``files`` gives the hashes of files that are known already."""
     named = {path: _bare(qualified(spark, path)) for path in paths}
-    files = file_hashes(spark, list(named)).withColumn("path", F.regexp_replace(plain_path(F.col("path")), SCHEME, ""))
+    files = (file_hashes(spark, list(named)) if files is None else files).withColumn("path", F.regexp_replace(plain_path(F.col("path")), SCHEME, ""))
     # A file belongs to the source that is its path or one of the folders above it: an equi-join on those.
     steps = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))

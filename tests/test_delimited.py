@@ -2,10 +2,12 @@ import csv
 import io
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sediment.sources import delimited as d
+from sediment.sources import profile as pr
 from sediment.sources import provenance as pv
 from sediment.sources.documents import read_document_raw
 
@@ -237,10 +239,52 @@ def test_block_count_follows_the_block_size(spark, tmp_path, blocks):
 
 
 def test_records_over_lines_scan_twice_and_shuffle_the_text_once(spark, tmp_path, blocks):
+    """Once for the profile, which shuffles no line, and once for the records, with hash and width from the profile."""
     path = tmp_path / "t.csv"
     path.write_text('1;"a\nb"\n2;c\n' * 200, encoding="utf-8")
     blocks(500)
-    df = d.read_records(spark, str(path), multiline=True)
-    assert len(df.collect()) == 400
+    first = d.lines_with_effect(spark, str(path)).mapInArrow(lambda batches: batches, d.lines_with_effect(spark, str(path)).schema)
+    assert first._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    known = d.profile(spark, str(path))
+    df = d.read_delimited_raw(spark, str(path), "v", known=known)
+    assert df.count() == 400 and known.facts[1:] == (True, 2)
+    df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan text") == 2
+    assert final.count("FileScan text") == 1
+    assert {r._hash_arquivo for r in df.collect()} == {pv.source_hash(spark, str(path))}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spans_compose(seed):
+    """Any cut of lines gives the sums of the whole, and those are what a line-by-line count gives."""
+    rng = random.Random(seed)
+    n = 60
+    c, o = np.array([rng.random() < 0.3 for _ in range(n)]).astype(int), np.array([rng.random() < 0.7 for _ in range(n)]).astype(int)
+    s0, s1, size = (np.array([rng.randrange(9) for _ in range(n)]) for _ in range(3))
+    for entry in (0, 1):
+        whole = pr.span_of((c, o), (s0, s1), size, entry)
+        state, sums, front = entry, [], [0, 0]
+        for k in range(n):
+            if state == 0:
+                sums.append(0)
+            if sums:
+                sums[-1] += s1[k] if state else s0[k]
+            else:
+                front = [front[0] + size[k], front[1] + s1[k]]
+            state = o[k] if state else c[k]
+        want = pr.Span(state, len(sums), *front, sums[-1] if sums else 0, max(sums[:-1], default=-1) + 1)
+        assert whole == want
+        for _ in range(20):
+            cuts = [0, *sorted(rng.sample(range(1, n), 3)), n]
+            joined = pr.Span(entry, 0, 0, 0, 0, 0)
+            for x, y in zip(cuts, cuts[1:]):
+                joined = joined.then(pr.span_of((c[x:y], o[x:y]), (s0[x:y], s1[x:y]), size[x:y], joined.exit))
+            assert joined == want
+
+
+def test_widest_record_over_blocks(spark, tmp_path, blocks):
+    path = tmp_path / "w.csv"
+    path.write_text('1;2\n' * 30 + '1;"' + "x;\n" * 60 + '";3;"' + "y\n" * 40 + '";5\n' + "1\n" * 30, encoding="utf-8")
+    for size in (1 << 27, 37):
+        blocks(size)
+        assert d.profile(spark, str(path)).facts[1:] == (True, 5)
