@@ -447,6 +447,25 @@ def portfolio_suite(spark, sf_dir):
     return results.filter(F.col("status") == q.FAIL).select("table", "kind", "failures")
 
 
+@query(
+    "measure_quarantine",
+    BASE_SQL
+    + """
+select case when id % 10 <> 0 then id end::integer as id_predio, (id + 5)::integer as linha_origem,
+  case when id % 10 = 0 then 'ID_PREDIO_AUSENTE_OU_INVALIDO' end as motivo_quarentena, built as area_construida_m2
+from measure
+""",
+)
+def measure_quarantine(spark, sf_dir):
+    """Every measurement row is either typed or set aside: every tenth one comes without a key."""
+    raw = raw_measures(spark, sf_dir)
+    raw = raw.withColumn("col_01", F.when(F.col("col_01").cast("bigint") % 10 == 0, F.lit(" ")).otherwise(F.col("col_01")))
+    typed = p.stage_measure(raw).select(p.KEY, "linha_origem", F.lit(None).cast("string").alias("motivo_quarentena"), "area_construida_m2")
+    aside = p.stage_measure_quarantine(raw)
+    aside = aside.select(F.lit(None).cast("int").alias(p.KEY), "linha_origem", "motivo_quarentena", p.parse_decimal("area_construida_original").alias("area_construida_m2"))
+    return typed.unionByName(aside).withColumn("area_construida_m2", F.col("area_construida_m2").cast("double"))
+
+
 # --- the whole job, from text files to answers -----------------------------------------------------
 
 PARTS = 4  # files of each register snapshot

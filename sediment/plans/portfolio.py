@@ -170,6 +170,21 @@ def stage_measure(raw: DataFrame) -> DataFrame:
     return _typed(raw, MEASURE_TEXT).withColumns({**tenure, **areas}).drop("col_03")
 
 
+def stage_measure_quarantine(raw: DataFrame) -> DataFrame:
+    """Measurement rows below the header that hold anything but have no digit key: with ``stage_measure`` no such row is lost."""
+    cells = ["col_01", "col_03", *MEASURE_TEXT.values()]
+    filled = F.exists(F.array(*map(clean_text, cells)), lambda v: v.isNotNull())
+    rows = raw.filter(REGISTER_RULE.in_data() & ~F.coalesce(valid_key("col_01"), F.lit(False)) & filled)
+    return rows.select(
+        ORIGIN,
+        safe_int(RECORD_NUMBER).alias("linha_origem"),
+        clean_text("col_01").alias("id_predio_original"),
+        clean_text("col_03").alias("situacao_original"),
+        *[clean_text(c).alias(name) for name, c in MEASURE_TEXT.items()],
+        F.lit(REASON_INVALID_KEY).alias("motivo_quarentena"),
+    )
+
+
 def stage_survey(raw: DataFrame) -> DataFrame:
     """One row per survey in the document; its collections stay JSON text for their own models.
 
@@ -467,6 +482,7 @@ def run(
     minimum_registers: int = 2,
     large_surveys: bool = False,
     keep_dates: bool = False,
+    quarantine_measures: bool = False,
 ) -> Run:
     """Ingest the raw sources, build every layer, store it and check it.
 
@@ -474,7 +490,8 @@ def run(
     single sources of ``reference_date``. With ``large_surveys`` the survey documents are landed by their elements,
     so that no task holds a whole one. With ``keep_dates`` fact, mart and partial answers keep the rows of earlier dates:
     a run replaces those of the newest register's date only (see :func:`history` and :func:`answer_over`), while the
-    tables of the run and its checks are about that date. The first failing stage ends the run, and so does any
+    tables of the run and its checks are about that date. ``quarantine_measures`` also stores the measurement rows without a
+    key, which are left out otherwise. The first failing stage ends the run, and so does any
     failed expectation.
     """
     out = out_dir.rstrip("/")
@@ -503,6 +520,8 @@ def run(
         store("silver", "stg_imoveis", stage_entity(register))
         store("silver", "quarentena_imoveis", stage_quarantine(register))
         store("silver", "stg_patrimonio", stage_measure(bronze["patrimonio"].current()))
+        if quarantine_measures:
+            store("silver", "quarentena_patrimonio", stage_measure_quarantine(bronze["patrimonio"].current()))
         store("silver", "stg_vistorias", stage_survey(bronze["infraestrutura_predial"].current()))
         store("silver", "stg_sanitarios", stage_items(done.tables["stg_vistorias"]))
         store("silver", "stg_reservatorios", stage_capacity(done.tables["stg_vistorias"]))

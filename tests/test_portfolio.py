@@ -198,3 +198,17 @@ def test_published_answers(spark, tmp_path):
     one = {r["comarca"]: r for r in district.filter("situacao_patrimonial = 'PROPRIO'").collect()}
     assert (one["CAMPO GRANDE"]["media_indice_individual_pct"], one["CAMPO GRANDE"]["indice_global_ponderado_pct"]) == (117.42, 95.04)
     assert one["DOURADOS"]["indice_global_ponderado_pct"] == 279.0
+
+
+def test_measurement_rows_without_a_key_are_set_aside(spark):
+    rows_ = [(str(n), *cells) for n, cells in enumerate([
+        ("Titulo", "", "", "", "", "", ""), ("", "", "", "", "", "", ""), ("", "", "", "", "", "", ""), ("ID", "Nome", "S", "C", "T", "A", "O"),
+        ("1", "Sede", "próprio", "1,00", "", "", ""), ("x", "Sala", "cedido", "2,00", "", "", ""), ("", "", "", "3,00", "", "", ""),
+        ("", " ", "", "", "", "", ""), (None, None, None, None, None, None, "nota"), ("99999999999", "", "", "", "", "", ""),
+    ], 1)]
+    columns = [p.RECORD_NUMBER, *(f"col_0{k}" for k in range(1, 8))]
+    raw = spark.createDataFrame(rows_, ", ".join(f"{c} string" for c in columns)).withColumns({p.ORIGIN: F.lit("f"), p.VERSION: F.lit(DAY)})
+    aside = p.stage_measure_quarantine(raw)
+    got = rows(aside.select("linha_origem", "id_predio_original", "area_construida_original", "observacao_fonte"), "linha_origem")
+    assert got == [(6, "x", "2,00", None), (7, None, "3,00", None), (9, None, None, "nota")]
+    assert sorted(r.linha_origem for r in p.stage_measure(raw).collect()) == [5, 10]
