@@ -73,12 +73,14 @@ def tables(spark, docs, doc_rows, tmp_path_factory):
     spark.createDataFrame(chats, "conv_id long, turn long, role string, text string").write.parquet(f"{where}/conversations.parquet")
     spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
     spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{where}/pages.parquet")
+    vectors = [(k, [k / 9, -0.5, 0.25], k % 3) for k in range(30)] + [(30, None, 1), (None, [0.5], 1), (31, [float("nan")], None)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{where}/embeddings.parquet")
     return str(where)
 
 
 @pytest.fixture(scope="session")
 def empty_tables(spark, tables, tmp_path_factory):
     where = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "labels", "conversations", "benchmark", "pages"):
+    for name in ("documents", "labels", "conversations", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{where}/{name}.parquet")
     return str(where)
