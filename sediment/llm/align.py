@@ -7,7 +7,7 @@ tokens place the cut. Where tokens of both end together a group ends; tokens who
 
 No token of either reaches over a space between two plain characters: A splits there before it merges, and no piece of B
 has a space behind another character, which is checked when the model is read. A text is cut at such spaces and each
-different segment is encoded once for a block of documents, with the same tokens as in the whole text.
+different segment is encoded once for many documents, with the same tokens as in the whole text.
 
 Counts of linked pairs are summed by block of documents first, so the shuffle carries each pair once a block. A
 document keeps its pairs as places in its block's list, and meets the corpus counts of that list, not of each link.
@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import pairwise
+from itertools import islice, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +43,11 @@ BLOCK_CHARS = 8_000_000
 RUN_CHARS = 20_000  # that are encoded at once
 OUT_CHARS = 4_000_000
 SLICE = 1 << 18
+REMEMBERED = 800_000  # segments of earlier blocks
 SPACE = "▁"
 PLAIN = "!-~À-ɏ"  # characters that are neither white space nor combine with others
 SEGMENTS = re.compile(f"(?<=[{PLAIN}])(?= [{PLAIN}])")
-STAYS_APART = re.compile(f" [{PLAIN}](?:.*[{PLAIN}])?\\Z", re.DOTALL)
+PLAIN_SET = frozenset(map(chr, [*range(ord("!"), ord("~") + 1), *range(ord("À"), ord("ɏ") + 1)]))
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -63,6 +66,8 @@ class Aligner:
     b: sentencepiece.SentencePieceProcessor
     a_bytes: list[bytes]
     b_bytes: list[bytes]
+    a_sizes: np.ndarray
+    b_sizes: np.ndarray
     b_is_byte: np.ndarray
     cut: bool
 
@@ -75,23 +80,23 @@ class Aligner:
         raw = text.encode()
         encoded = self.a.encode(text, add_special_tokens=False)
         proto = self.b.encode(text[1:], return_type="proto").pieces
-        a, b = encoded.ids, [p.id for p in proto]
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        both = [(p.id, p.end) for p in proto]
+        a, b = encoded.ids, [i for i, _ in both]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
-        a_coarse = np.fromiter((end for _, end in encoded.offsets), np.int64, len(a))
+        a_coarse = np.fromiter(map(itemgetter(1), encoded.offsets), np.int64, len(a))
         if len(raw) != len(text):
             starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
             a_coarse = np.append(starts, len(raw))[a_coarse]
-        b_coarse = np.fromiter((p.end for p in proto), np.int64, len(b)) + 1  # the space before the text is not in the spans
+        b_coarse = np.fromiter(map(itemgetter(1), both), np.int64, len(b)) + 1  # the space before the text is not in the spans
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         b_coarse[self.b_is_byte[b]] = len(raw)
-        return a, refined(a_coarse, a_parts), b, refined(b_coarse, b_parts)
+        return a, refined(a_coarse, self.a_sizes[a]), b, refined(b_coarse, self.b_sizes[b])
 
 
-def refined(coarse: np.ndarray, parts: list[bytes]) -> np.ndarray:
+def refined(coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Where tokens end in bytes: at their coarse cuts, or before them by their decoded bytes where they end inside a character."""
-    return np.minimum(coarse, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))))
+    return np.minimum(coarse, np.cumsum(sizes))
 
 
 @dataclass(frozen=True)
@@ -120,14 +125,14 @@ def align_segments(both: Aligner, pieces: list[str]) -> Segments:
     runs: list[tuple[int, int]] = []
     chars, joins = 0, False
     for n, piece in enumerate(pieces):
-        plain = both.cut and STAYS_APART.match(piece) is not None
+        plain = both.cut and len(piece) > 1 and piece[1] in PLAIN_SET and piece[-1] in PLAIN_SET
         if plain and joins and chars + len(piece) <= RUN_CHARS:
             runs[-1] = (runs[-1][0], n + 1)
             chars += len(piece)
         else:
             runs.append((n, n + 1))
             chars, joins = len(piece), plain
-    sizes = np.array([len(p.encode()) for p in pieces], dtype=np.int64)
+    sizes = np.array([len(p) if p.isascii() else len(p.encode()) for p in pieces], dtype=np.int64)
     sound = np.ones(len(pieces), dtype=bool)
     parts: list[tuple[np.ndarray, ...]] = []
     base = 0
@@ -197,7 +202,8 @@ def aligner(vocabulary_a: bytes, vocabulary_b: bytes) -> Aligner:
     byte = [BYTE_PIECE.fullmatch(p) if b.is_byte(i) else None for i, p in enumerate(pieces)]
     b_bytes = [bytes.fromhex(m[1]) if m else p.replace(SPACE, " ").encode() for m, p in zip(byte, pieces, strict=True)]
     cut = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-    return Aligner(a, b, a_bytes, b_bytes, np.array([m is not None for m in byte]), cut)
+    sizes = [np.array(list(map(len, x)), dtype=np.int64) for x in (a_bytes, b_bytes)]
+    return Aligner(a, b, a_bytes, b_bytes, *sizes, np.array([m is not None for m in byte]), cut)
 
 
 GROUPS = "array<struct<start:int,end:int,a:array<int>,b:array<int>>>"
@@ -243,41 +249,77 @@ FIRST_PASS = pa.schema(
 FIRST_PASS_DDL = "id long, block long, n_a long, n_b long, n_groups long, n_links long, groups string, places array<int>, times array<int>, pairs array<long>, documents array<int>"
 
 
+class _Memory:
+    """Segments that a worker has aligned, with the figures of each; it forgets all of them when there are too many.
+
+    Results do not depend on what it holds.
+    """
+
+    def __init__(self, both: Aligner):
+        self.both = both
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: defaultdict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__  # a new segment gets the next number
+        self.sound = np.zeros(0, dtype=bool)
+        self.counts = np.zeros((4, 0), dtype=np.int64)  # tokens of A, of B, groups, links
+        self.links = np.zeros(0, dtype=np.int64)
+        self.texts: list[str] = []
+
+    def complete(self) -> None:
+        """Align the segments that got a number since the last time."""
+        new = list(islice(self.numbers, len(self.texts), None))
+        found = align_segments(self.both, new)
+        counts = np.stack([np.diff(x) for x in (found.a_at, found.b_at, found.ends_at, found.links_at)])
+        self.sound = np.concatenate([self.sound, found.sound])
+        self.counts = np.concatenate([self.counts, counts], axis=1)
+        self.links = np.concatenate([self.links, found.links])
+        self.texts += found.texts
+
+
 class _Block:
     """Documents of a block until it is full: rows of documents, then one row (without n_a) with the pairs of the block."""
 
-    def __init__(self, number: int, both: Aligner):
-        self.number, self.both, self.size = number, both, 0
+    def __init__(self, number: int, memory: _Memory):
+        self.number, self.memory, self.size = number, memory, 0
         self.ids: list[int | None] = []
         self.texts: list[np.ndarray] = []  # the segments of each text, by number
-        self.known: dict[str, int] = {}
+        if len(memory.texts) > REMEMBERED:
+            memory.clear()
 
     def add(self, doc_id: int | None, text: str | None) -> None:
         self.size += len(text or "") + 100
-        pieces = self.both.segments(text) if text else []
+        pieces = self.memory.both.segments(text) if text else []
         self.ids.append(doc_id)
-        known = self.known
-        self.texts.append(np.fromiter((known.setdefault(p, len(known)) for p in pieces), np.int32, len(pieces)))
+        self.texts.append(np.fromiter(map(self.memory.numbers.__getitem__, pieces), np.int32, len(pieces)))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         if not self.ids:
             return
-        found = align_segments(self.both, list(self.known))
-        pairs, places = np.unique(found.links, return_inverse=True)
-        n_a, n_b, n_groups, n_links = (np.diff(x) for x in (found.a_at, found.b_at, found.ends_at, found.links_at))
+        memory = self.memory
+        memory.complete()
+        texts, n_links = memory.texts, memory.counts[3]
+        links_at = np.cumsum(n_links) - n_links
+        sound = [len(at) > 0 and bool(memory.sound[at].all()) for at in self.texts]
+        used = np.zeros(len(texts), dtype=bool)
+        for at, whole in zip(self.texts, sound, strict=True):
+            used[at] |= whole
+        here = np.repeat(used, n_links)
+        places = np.zeros(len(memory.links), dtype=np.int64)
+        pairs, places[here] = np.unique(memory.links[here], return_inverse=True)
         documents = np.zeros(len(pairs), dtype=np.int64)
-        texts = found.texts
         rows: list[tuple] = []
         size = 0
-        for doc_id, at in zip(self.ids, self.texts, strict=True):
-            if len(at) and found.sound[at].all():
+        for doc_id, at, whole in zip(self.ids, self.texts, sound, strict=True):
+            if whole:
                 held = np.zeros(0, np.int64)
                 times = np.zeros(0, np.int64)
                 for start in range(0, len(at), SLICE):  # a very long text is counted by parts
                     part = at[start : start + SLICE]
                     lengths = n_links[part]
                     ends = np.cumsum(lengths)
-                    links = np.repeat(found.links_at[part] - ends + lengths, lengths) + np.arange(ends[-1])
+                    links = np.repeat(links_at[part] - ends + lengths, lengths) + np.arange(ends[-1])
                     p, t = np.unique(places[links], return_counts=True)
                     if start:
                         both, inverse = np.unique(np.concatenate([held, p]), return_inverse=True)
@@ -285,7 +327,7 @@ class _Block:
                     held, times = p, t
                 documents[held] += 1
                 joined = ";".join(map(texts.__getitem__, at.tolist()))
-                rows.append((doc_id, int(n_a[at].sum()), int(n_b[at].sum()), int(n_groups[at].sum()), int(n_links[at].sum()), joined, held, times))
+                rows.append((doc_id, *map(int, memory.counts[:, at].sum(axis=1)), joined, held, times))
                 size += len(joined)
             else:
                 rows.append((doc_id, 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)))
@@ -306,18 +348,24 @@ class _Block:
         return pa.RecordBatch.from_arrays([*numbers, pa.array(columns[5]), *lists, *nothing], schema=FIRST_PASS)
 
 
+@lru_cache(maxsize=1)
+def _memory(vocabulary_a: bytes, vocabulary_b: bytes) -> _Memory:
+    """The memory of this worker; tasks of a worker run one after the other."""
+    return _Memory(aligner(vocabulary_a, vocabulary_b))
+
+
 def _first_pass(vocabulary_a: bytes, vocabulary_b: bytes, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(vocabulary_a, vocabulary_b)
+        memory = _memory(vocabulary_a, vocabulary_b)
         number = TaskContext.get().partitionId() << 32
-        block = _Block(number, both)
+        block = _Block(number, memory)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 block.add(doc_id.as_py(), text.as_py())
                 if block.size >= block_chars:
                     yield from block.batches()
                     number += 1
-                    block = _Block(number, both)
+                    block = _Block(number, memory)
         yield from block.batches()
 
     return run
@@ -328,7 +376,7 @@ FOUND = pa.struct([("place", pa.int32()), ("n", pa.int64()), ("best", pa.bool_()
 
 def _sums(key, docs: pa.Table, lists: pa.Table) -> pa.Table:
     """Sums over the links of each document of a block, from the corpus counts of the block's pairs."""
-    pairs = pa.concat_arrays([c.flatten() for c in lists["found"].chunks] or [pa.array([], FOUND)])
+    pairs = pa.concat_arrays([c.flatten() for c in lists["found"].chunks if len(c)] or [pa.array([], FOUND)])
     order = np.argsort(pairs.field("place").to_numpy(zero_copy_only=False))
     count, best = (pairs.field(c).to_numpy(zero_copy_only=False)[order] for c in ("n", "best"))
     places, times = docs["places"].to_pylist(), docs["times"].to_pylist()
