@@ -58,9 +58,11 @@ def _left(round_: DataFrame, carry: Sequence[str]) -> DataFrame:
     left = round_.where(F.col("rest").isNull())
     alone = left.where("group is null").select("id", "keep_id", "group_size", F.lit(True).alias("kept"), *carry)
     groups = left.where("group is not null")
-    stays = groups.where("id <=> keep_id").groupBy("group").agg(F.min("row").alias("first"))
-    equal = groups.join(stays.hint("merge"), "group").select("id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), *carry)
-    return alone.unionByName(equal)
+    # only rows of the largest id have to be told apart, so a large group of other rows is not brought together
+    largest, others = groups.where("id <=> keep_id"), groups.where("not (id <=> keep_id)")
+    stays = largest.groupBy("group").agg(F.min("row").alias("first"))
+    largest = largest.join(stays.hint("merge"), "group").select("id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), *carry)
+    return alone.unionByName(largest).unionByName(others.select("id", "keep_id", "group_size", F.lit(False).alias("kept"), *carry))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: Column | None = None, carry: Sequence[str] = (), widths: Sequence[int] = WIDTHS) -> DataFrame:
