@@ -167,16 +167,16 @@ def _half_way_links(crowded: DataFrame, max_distance: int) -> DataFrame:
     Only bits outside the key can differ.
     """
     near, far = max_distance // 2, (max_distance + 1) // 2
-    free = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.getbit("mask", b) == 0)
+    # a fingerprint in several crowded keys sets out once, over the bits that any of them leaves open
+    once = crowded.groupBy("fp").agg(F.bit_or(F.bitwise_not("mask")).alias("open"))
+    free = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.getbit("open", b) == 1)
     points = F.array(F.struct(F.col("fp").alias("at"), F.lit(0).alias("steps"), F.lit(-1).alias("last")))
-    rows = crowded.select("mask", "key", "fp", free.alias("free"), F.explode(points).alias("p")).select("mask", "key", "fp", "free", "p.*")
+    rows = once.select("fp", free.alias("free"), F.explode(points).alias("p")).select("fp", "free", "p.*")
     out = rows
     for step in range(1, far + 1):
         bit = F.explode(F.filter("free", lambda b: b > F.col("last")))
         flip = F.expr("at ^ shiftleft(1L, bit)")
-        rows = rows.select("mask", "key", "fp", "free", "at", "last", bit.alias("bit")).select(
-            "mask", "key", "fp", "free", flip.alias("at"), F.lit(step).alias("steps"), F.col("bit").alias("last")
-        )
+        rows = rows.select("fp", "free", "at", "last", bit.alias("bit")).select("fp", "free", flip.alias("at"), F.lit(step).alias("steps"), F.col("bit").alias("last"))
         out = out.unionByName(rows)
     meet = out.select("at", "fp", "steps")
     centre = F.min(F.when(F.col("steps") <= near, F.col("fp")))
