@@ -1,8 +1,8 @@
 """Order MinHash of whole texts in DataFrame functions only.
 
 A text is a sequence of short pieces of words, and its k-mers are ``WIDTH`` consecutive pieces. Equal k-mers are told
-apart by the number of their occurrence. Each numbered k-mer falls into one of ``SKETCHES`` groups by its hash; of each
-group the ``CHOSEN`` smallest are taken, put back into text order, and hashed as a tuple. Texts agree in a group only if
+apart by the number of their occurrence. The hashes are parted into ``SKETCHES`` groups; of each group the ``CHOSEN``
+smallest are taken (of the next groups where it has too few), put back into text order, and hashed as a tuple. Texts agree in a group only if
 they share those k-mers in the same order, so the share of equal groups follows edit distance, not just content.
 """
 
@@ -29,9 +29,9 @@ def _let(value: Column, body) -> Column:
 
 
 def signature(text: Column) -> Column:
-    """array of ``SKETCHES`` strings of ``DIGITS`` hex digits, ``EMPTY`` for groups without a k-mer.
+    """array of ``SKETCHES`` strings of ``DIGITS`` hex digits, all ``EMPTY`` for a text without a k-mer.
 
-    A null text counts as empty and has empty groups only. A text of fewer than ``WIDTH`` pieces is one k-mer.
+    A null text counts as empty. A text of fewer than ``WIDTH`` pieces is one k-mer, and its tuples hold that one.
     """
     return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0)), _of_pieces)
 
@@ -83,21 +83,34 @@ def _numbered(kmers: Column) -> Column:
 
 
 def _by_group(ranked: Column) -> Column:
-    """Sorted by hash, the upper bits name the group, so each group's smallest come first."""
+    """Tuples of all groups. Hashes are a circle: a group's smallest k-mers are the first from where the group begins.
+
+    A group with too few of its own goes on into the next ones, after the last into the first, so a text of ``CHOSEN``
+    k-mers or more has a whole tuple in every group.
+    """
     group = lambda v: F.shiftright(v, 64 - SKETCH_BITS)
-    firsts = F.filter(_indices(ranked), lambda i: (i == 0) | (group(ranked[i]) != group(F.get(ranked, i - 1))))
     place = lambda v: v.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
-    def tuple_at(i: Column) -> Column:
-        own = F.filter(F.slice(ranked, i + 1, CHOSEN), lambda v: group(v) == group(ranked[i]))
-        in_text = F.sort_array(F.transform(own, lambda v: F.struct(place(v).alias("at"), F.shiftright(v, PLACE_BITS).alias("g"))))
-        digest = F.lower(F.right(F.hex(F.xxhash64(F.transform(in_text, lambda x: x["g"]))), F.lit(DIGITS)))
-        return F.struct(group(ranked[i]).alias("key"), F.lpad(digest, DIGITS, "0").alias("value"))
+    def tuples(circle: Column) -> Column:
+        def tuple_at(i: Column) -> Column:
+            own = F.slice(circle, i + 1, F.least(F.lit(CHOSEN), F.size(ranked)))
+            in_text = F.sort_array(F.transform(own, lambda v: F.struct(place(v).alias("at"), F.shiftright(v, PLACE_BITS).alias("g"))))
+            digest = F.lower(F.right(F.hex(F.xxhash64(F.transform(in_text, lambda x: x["g"]))), F.lit(DIGITS)))
+            return F.struct(group(ranked[i]).alias("key"), F.lpad(digest, DIGITS, "0").alias("value"))
+
+        firsts = F.filter(_indices(ranked), lambda i: (i == 0) | (group(ranked[i]) != group(F.get(ranked, i - 1))))
+        return F.transform(firsts, tuple_at)
+
+    def whole(found: Column) -> Column:
+        """The tuple of a group without k-mers is that of the next group that has any."""
+        places = F.sequence(F.lit(-(SKETCHES // 2)), F.lit(SKETCHES // 2 - 1))
+        ahead = lambda g: F.size(F.filter(found, lambda t: t["key"] < g))
+        filled = F.transform(places, lambda g: F.get(found, F.pmod(ahead(g), F.size(found)))["value"])
+        full = F.transform(found, lambda t: t["value"])
+        none = F.array_repeat(F.lit(EMPTY), SKETCHES)
+        return F.when(F.size(found) == 0, none).when(F.size(found) == SKETCHES, full).otherwise(filled)
 
-    half = SKETCHES // 2
-    places = F.sequence(F.lit(-half), F.lit(half - 1))
-    whole = lambda m: F.transform(places, lambda g: F.coalesce(F.try_element_at(m, g.cast("bigint")), F.lit(EMPTY)))
-    return _let(F.map_from_entries(F.transform(firsts, tuple_at)), whole)
+    return _let(_let(F.concat(ranked, F.slice(ranked, 1, CHOSEN - 1)), tuples), whole)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -121,8 +134,7 @@ def following_ids(ids: DataFrame) -> DataFrame:
     ranged = ids.select("id").distinct().repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id())
     ranged = stored(ranged, "ids")
     heads = ranged.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("head"))
-    in_order = F.sort_array(F.collect_list(F.struct("part", "head")))  # one entry for each range
-    ordered = heads.agg(in_order.alias("h")).select(F.posexplode("h").alias("i", "x"), "h")
-    heads = ordered.select(F.col("x.part").alias("part"), F.coalesce(F.get("h", F.col("i") + 1), F.get("h", F.lit(0)))["head"]["id"].alias("head"))
+    onward = "over (order by part rows between 1 following and 1 following)"  # one row for each range
+    heads = heads.selectExpr("part", f"coalesce(first(head) {onward}, first(head) over (order by part)).id as head")
     inside = ranged.selectExpr("id", "part", "lead(struct(id)) over (partition by part order by id nulls first) as n")
-    return inside.join(F.broadcast(heads), "part").select("id", F.when(F.col("n").isNotNull(), F.col("n.id")).otherwise(F.col("head")).alias("next_id"))
+    return inside.join(heads, "part").select("id", F.when(F.col("n").isNotNull(), F.col("n.id")).otherwise(F.col("head")).alias("next_id"))

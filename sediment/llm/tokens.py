@@ -119,5 +119,8 @@ def count_by_section(text: Column, section_chars: Column, vocabulary: bytes, rul
 
 def paragraphs(text: Column) -> Column:
     """Lengths of the lines of a text, each with the line break that ends it; an empty text has one empty section."""
-    lines = F.split(text, "\n", -1)
-    return F.transform(lines, lambda line, i: F.char_length(line) + F.when(i < F.size(lines) - 1, 1).otherwise(0))
+    def lengths(lines: Column) -> Column:
+        broken = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda line: F.char_length(line) + 1)
+        return F.concat(broken, F.array(F.char_length(F.element_at(lines, -1))))
+
+    return F.transform(F.array(F.split(text, "\n", -1)), lengths)[0]  # bound once: texts are split once, not once a line

@@ -3,7 +3,6 @@ import random
 from fractions import Fraction
 
 import pytest
-from pyspark.sql import functions as F
 
 from sediment.llm.mixing import mix
 
@@ -36,7 +35,7 @@ def plain_mix(rows, weights, total, epochs, seed):
     """(id, epoch, prefix tokens) of all that is taken."""
     leaves = {}
     for i, path, n in rows:
-        if n:
+        if n and all(weights.get(path[:k], 1) for k in (1, 2, 3)):
             leaves.setdefault(path, []).append((i, n))
     size = {p: sum(n for _, n in v) for p, v in leaves.items()}
     budget = {(): min(sum(size.values()) if total is None else total, epochs * sum(size.values()))}
@@ -55,7 +54,7 @@ def plain_mix(rows, weights, total, epochs, seed):
         full, rest = divmod(budget[p], size[p])
         out += [(i, e, n) for e in range(full) for i, n in docs]
         place = lambda i: (int(hashlib.md5(f"{seed}:{full}:{'' if i is None else i}".encode()).hexdigest()[:15], 16), str(i))  # noqa: B023, E731
-        for i, n in sorted(docs, key=lambda d: place(d[0])):
+        for i, n in sorted(docs, key=lambda d: (place(d[0])[0], '' if d[0] is None else str(d[0]), d[0] is not None, d[1])):
             if rest > 0:
                 out.append((i, full, min(n, rest)))
             rest -= n
@@ -79,10 +78,26 @@ def test_mix_is_what_plain_loops_give(spark, total, epochs, monkeypatch):
         assert sum(t for *_, t in got) == min(total, epochs * tokens)
 
 
-def test_repeated_rows_share_a_place(spark):
-    df = spark.createDataFrame([(1, "a", 10)] * 5 + [(2, "a", 10)], "doc long, a string, n long")
-    got = mix(df, ["a"], "doc", "n", {}, total=30, seed=1).groupBy("doc").agg(F.count(F.lit(1)).alias("n")).collect()
-    assert {r.doc: r.n for r in got} in ({1: 5}, {1: 5, 2: 1})
+@pytest.mark.parametrize("total", [12, 777, 5003, None])
+def test_quotas_hold_for_repeated_and_missing_ids(spark, total, monkeypatch):
+    monkeypatch.setattr("sediment.llm.mixing.ROWS_PER_BUCKET", 4)
+    rng = random.Random(7)
+    rows = [(rng.choice((None, None, 1, 2, 3)), "p", rng.choice("xy"), "s", rng.choice((10, 10, 10, 7, 0))) for _ in range(300)]
+    rows += [(5, "p", "x", "s", 10)] * 150 + [(6, "q", "z", "s", 4)] * 40 + [(6, "none", "x", "s", 50)] * 9
+    weights = {("p", "x"): 3, ("none",): 0}
+    df = spark.createDataFrame(rows, "doc long, a string, b string, c string, n long").repartition(7)
+    got = sorted(((r.doc, r.epoch, r.prefix_tokens) for r in mix(df, LEVELS, "doc", "n", weights, total, 3, seed=5).collect()), key=str)
+    assert got == plain_mix([(r[0], tuple(r[1:4]), r[4]) for r in rows], weights, total, 3, 5)
+    tokens = sum(r[4] for r in rows if r[1] != "none")
+    assert sum(t for *_, t in got) == min(tokens if total is None else total, 3 * tokens)
+
+
+def test_weights_of_zero_and_less(spark):
+    df = spark.createDataFrame([(1, "p", 10), (2, "q", 10)], "doc long, a string, n long")
+    assert [r.doc for r in mix(df, ["a"], "doc", "n", {("p",): 0}, total=30, max_epochs=1).collect()] == [2]
+    assert mix(df, ["a"], "doc", "n", {("p",): 0, ("q",): 0}).count() == 0
+    with pytest.raises(ValueError, match="negative"):
+        mix(df, ["a"], "doc", "n", {("p",): -1})
 
 
 def test_shortage_stays_among_siblings(spark):

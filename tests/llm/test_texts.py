@@ -128,15 +128,13 @@ def plain_signature(text):
             long = xxhash.xxh64_intdigest(struct.pack("<i", j), xxhash.xxh64_intdigest(struct.pack("<q", h), 42))
             v = (long - (1 << 64) if long >> 63 else long) & ~low | i
         ranked.append(v)
-    groups = {}
-    for v in sorted(ranked):
-        groups.setdefault(v >> 64 - ordermin.SKETCH_BITS, []).append((v & low, v >> ordermin.PLACE_BITS))
-    out = []
+    out, span = [], 1 << 64 - ordermin.SKETCH_BITS
     for g in range(-ordermin.SKETCHES // 2, ordermin.SKETCHES // 2):
+        onward = sorted(ranked, key=lambda v: (v - g * span) % (1 << 64))[: ordermin.CHOSEN]  # round the circle of hashes
         h = 42
-        for _, v in sorted(groups.get(g, [])[: ordermin.CHOSEN]):
+        for _, v in sorted((v & low, v >> ordermin.PLACE_BITS) for v in onward):
             h = xxhash.xxh64_intdigest(struct.pack("<q", v), h)
-        out.append(f"{h:016x}"[-ordermin.DIGITS :] if g in groups else ordermin.EMPTY)
+        out.append(f"{h:016x}"[-ordermin.DIGITS :] if ranked else ordermin.EMPTY)
     return out
 
 
@@ -179,6 +177,29 @@ def test_order_minhash_sees_order(spark):
     assert row[0] > 0.9 and row[1] < row[0] - 0.1
 
 
+def test_order_minhash_is_alike_at_all_lengths(spark):
+    """Halves swapped so that the k-mers stay the same: about half of all pairs of them change order, at any length."""
+    rng, rows = random.Random(9), []
+    for n, texts in ((20, 400), (60, 200), (150, 100), (2000, 40)):
+        for _ in range(texts):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            half = n // 2
+            rows.append((n, " ".join([*words, words[0]]), " ".join(words[half:] + words[: half + 1])))
+    df = spark.createDataFrame(rows, "n int, a string, b string").repartition(8)
+    near = ordermin.likeness(ordermin.signature(F.col("a")), ordermin.signature(F.col("b")))
+    mean = {r.n: r.near for r in df.groupBy("n").agg(F.sqrt(F.avg(near * near)).alias("near")).collect()}
+    assert all(abs(m - 0.5**0.5) < 0.03 for m in mean.values())
+    assert max(mean.values()) - min(mean.values()) < 0.03
+
+
+def test_lines_of_long_texts(spark):
+    """A text of very many lines takes time by its length, not by the square of it."""
+    df = spark.createDataFrame([(0, "\n".join(["a line of forty characters or thereabouts"] * 60000)), (1, ""), (2, "\n"), (3, None)], "i int, t string")
+    got = {r.i: r.s for r in df.select("i", tokens.paragraphs(F.col("t")).alias("s")).collect()}
+    assert len(got[0]) == 60000 and got[0][0] == got[0][-1] + 1
+    assert (got[1], got[2], got[3]) == ([0], [1, 0], None)
+
+
 def test_url_pieces(spark):
     urls = [("HTTPS://u:p@A.b.Example.com.:443//x//y/?q=/z#f",), ("http://[::1]:80/a",), ("nothing",), (None,), ("http:///x",), ("ftp://h",)]
     df = spark.createDataFrame(urls, "u string")
