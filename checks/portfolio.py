@@ -403,9 +403,7 @@ def answer_gaps(spark, sf_dir):
     return p.gaps(fact(spark, sf_dir))
 
 
-@query(
-    "portfolio_suite",
-    """
+SUITE_SQL = """
 with orphans as (
   select id from (select distinct o_custkey as id from orders where o_orderpriority < '4')
   where id not in (select c_custkey from customer where c_acctbal >= 0)
@@ -421,8 +419,10 @@ union all select 'stg_vistorias', 'relationships', (select count(*) from lost)
 union all select 'stg_sanitarios', 'relationships', (select 2 * count(*) from lost)
 union all select 'stg_reservatorios', 'relationships', (select 2 * count(*) from lost)
 union all select 'stg_reservatorios', 'interpreted', (select count(*) from unread)
-""",
-)
+"""
+
+
+@query("portfolio_suite", SUITE_SQL)
 def portfolio_suite(spark, sf_dir):
     """All checks of the job over its stored tables; those that fail, with their counts."""
     root, tables = scratch(spark, "portfolio"), {}
@@ -492,8 +492,11 @@ def write_parts(rows, path, number):
     return path
 
 
-def job_files(spark, sf_dir):
-    """Two register snapshots, measurements and surveys as files below a fresh folder."""
+def job_files(spark, sf_dir, clean=True):
+    """Two register snapshots, measurements and surveys as files below a fresh folder.
+
+    ``clean`` leaves out what the gate would stop; otherwise every row of the three sources is written as it is.
+    """
     root = scratch(spark, "job-raw")
     register = raw_register(spark, sf_dir)
     number = F.col(RECORD_NUMBER).cast("bigint")
@@ -502,16 +505,17 @@ def job_files(spark, sf_dir):
         rows = register if segments is None else register.filter(F.col("col_04").isin(segments))
         snapshots.append(write_parts(rows, f"{root}/imoveis/{label}", number))
     keyed = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("col_01"))
-    areas = raw_measures(spark, sf_dir).join(keyed, "col_01")
-    measured = write_parts(areas, f"{root}/patrimonio", F.col("col_01").cast("bigint"))
-    known = keyed.withColumnRenamed("col_01", "id_predio")
-    one = F.from_json(F.replace(DOCUMENT, F.lit('"cheia"'), F.lit('"READ"')), "vistorias array<string>").getField("vistorias")
+    areas = raw_measures(spark, sf_dir)
+    measured = write_parts(areas.join(keyed, "col_01") if clean else areas, f"{root}/patrimonio", F.col("col_01").cast("bigint"))
+    one = F.from_json(F.replace(DOCUMENT, F.lit('"cheia"'), F.lit('"READ"')) if clean else DOCUMENT, "vistorias array<string>").getField("vistorias")
     surveys = raw_surveys(spark, sf_dir).select(F.explode(one).alias("survey"))
-    surveys = surveys.withColumn("id_predio", F.get_json_object("survey", "$.id_predio")).join(known, "id_predio")
-    basins = F.get_json_object("survey", "$.loucas.vasos_declarados")
-    readable = F.replace("survey", F.lit('"READ"'), F.concat(F.lit('"'), basins, F.lit(' litros"')))
+    surveys = surveys.withColumn("id_predio", F.get_json_object("survey", "$.id_predio"))
+    if clean:
+        basins = F.get_json_object("survey", "$.loucas.vasos_declarados")
+        readable = F.replace("survey", F.lit('"READ"'), F.concat(F.lit('"'), basins, F.lit(' litros"')))
+        surveys = surveys.join(keyed.withColumnRenamed("col_01", "id_predio"), "id_predio").withColumn("survey", readable)
     batch = F.floor(F.col("id_predio").cast("bigint") / SURVEYS_PER_DOCUMENT)
-    bodies = surveys.groupBy(batch.alias("batch")).agg(F.array_join(F.sort_array(F.collect_list(readable)), ", ").alias("body"))
+    bodies = surveys.groupBy(batch.alias("batch")).agg(F.array_join(F.sort_array(F.collect_list("survey")), ", ").alias("body"))
     document = F.concat(F.lit('{"vistorias": ['), "body", F.lit("]}"))
     bodies.select("batch", document.alias("value")).write.partitionBy("batch").text(f"{root}/vistorias")
     return root, snapshots, measured, f"{root}/vistorias"
@@ -537,6 +541,14 @@ def portfolio_run(spark, sf_dir):
     return metrics.with_position(found, metrics.key_order("comarca", "situacao_patrimonial"))
 
 
+@query("portfolio_failures", SUITE_SQL)
+def portfolio_failures(spark, sf_dir):
+    """The whole job on files from which nothing was taken out: the expectations that fail, with their counts."""
+    root, registers, measured, surveyed = job_files(spark, sf_dir, clean=False)
+    done = p.run(spark, registers, measured, surveyed, scratch(spark, "job"), DAY, root=root, gated=False)
+    return done.results.filter(F.col("status") == q.FAIL).select("table", "kind", "failures")
+
+
 @query(
     "portfolio_models",
     JOB_SQL
