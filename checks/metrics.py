@@ -226,6 +226,18 @@ def median_by_group(spark, sf_dir):
     return metrics.group_median(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", "median_price")
 
 
+@query(
+    "median_by_sketch",
+    """
+select l_returnflag, l_linestatus, median(l_extendedprice) as median_price
+from lineitem group by l_returnflag, l_linestatus
+""",
+)
+def median_by_sketch(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return metrics.group_median_by_sketch(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", "median_price")
+
+
 @query(
     "filtered_counts",
     """

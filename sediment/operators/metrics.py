@@ -259,15 +259,66 @@ def group_median(df: DataFrame, by: Sequence[str], value: str, name: str = "medi
     """
     keys = list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return _median_of_counts(counts, keys, value, name)
+
+
+#: Items of a quantile sketch; its rank error is about 0.4 % of the rows.
+SKETCH_ITEMS = 800
+#: Share of the rows on either side of the middle that stays open after the sketch.
+BRACKET = 0.01
+
+
+def group_median_by_sketch(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """The same exact median with a small part of the shuffle: a mergeable sketch brackets it, a second pass settles it.
+
+    The first pass leaves one KLL sketch per group, from which a lower and an upper bound of the middle follow. The second
+    one counts what lies below, and values one by one only between the bounds; ranks are then found as in
+    :func:`group_median`. A group whose middle turns out not to lie between its bounds is counted in full, so the
+    result never rests on the sketch. Meant for groups far fewer than rows: their bounds meet every row. Nulls do not
+    count and NaN is the largest value, as there.
+    """
+    keys, spark = list(by), df.sparkSession
+    number = F.col(value).cast("double")
+    known = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    sketch = F.kll_sketch_agg_double(number, SKETCH_ITEMS)
+    groups = known.groupBy(*keys).agg(sketch.alias("_sketch"), F.count(F.lit(1)).alias("_total"), F.count_if(~F.isnan(number)).alias("_numbers"))
+    bound = lambda rank: F.when(F.col("_numbers") > 0, F.kll_sketch_get_quantile_double("_sketch", F.lit(rank)))
+    groups = groups.select(
+        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_total", bound(0.5 - BRACKET).alias("_low"), bound(0.5 + BRACKET).alias("_high")
+    )
+    path = scratch(spark, "median-bounds")
+    groups.write.parquet(path)
+    groups = spark.read.parquet(path)
+    same = [known[k].eqNullSafe(groups[f"_k{i}"]) for i, k in enumerate(keys)] or [F.lit(True)]
+    open_rows = known.join(groups, same).filter(~F.coalesce(number > F.col("_high"), F.lit(False)))
+    below = F.coalesce(number < F.col("_low"), F.lit(False))
+    # what lies below is one null per group, which comes first in order; what lies above is in the total only
+    counts = open_rows.withColumn(value, F.when(~below, F.col(value))).groupBy(*keys, value, "_total").agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch(spark, "median-settled")
+    _median_of_counts(counts, keys, value, name).filter(F.col(name).isNotNull()).write.parquet(path)
+    settled = spark.read.parquet(path)
+    found = [groups[f"_k{i}"].eqNullSafe(settled[k]) for i, k in enumerate(keys)] or [F.lit(True)]
+    missed = groups.join(settled, found, "left_anti")
+    if missed.isEmpty():
+        return settled
+    again = known.join(missed, [known[k].eqNullSafe(missed[f"_k{i}"]) for i, k in enumerate(keys)] or [F.lit(True)], "left_semi")
+    return settled.unionByName(group_median(again, keys, value, name))
+
+
+def _median_of_counts(counts: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Median of (keys, value, ``_n``); ``_total``, where there is one, is the size of the group that ranks refer to."""
+    df = counts
+    total = F.max("_total").over(Window.partitionBy(*keys)) if "_total" in counts.columns else F.sum("_size").over(Window.partitionBy(*keys))
     # The range bounds come from sampling, so the layout is written down before it is read twice.
     path = scratch(df.sparkSession, "median")
     counts.repartitionByRange(*keys, value).withColumn("_chunk", F.spark_partition_id()).write.parquet(path)
     laid_out = df.sparkSession.read.parquet(path)
 
-    chunks = laid_out.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_size"))
+    sizes = [F.max("_total").alias("_total")] if "_total" in counts.columns else []
+    chunks = laid_out.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_size"), *sizes)
     ranks = (
         _running(chunks, keys, "_chunk", "_size")
-        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
+        .withColumn("_total", total)
         .withColumns({"_lo": F.floor((F.col("_total") + 1) / 2), "_hi": F.floor((F.col("_total") + 2) / 2)})
     )
     end = F.col("_before") + F.col("_size")
