@@ -74,6 +74,30 @@ def json_explode(spark, sf_dir):
     )
 
 
+@query(
+    "variant_explode",
+    """
+with items as (
+  select c_custkey, 0 as item_pos, 'BALANCE' as kind, c_acctbal as amount from customer
+  union all select c_custkey, 1, 'NATION', cast(c_nationkey as double) from customer)
+select c_custkey, item_pos, 'kind' as field, kind, cast(null as double) as amount from items
+union all select c_custkey, item_pos, 'declared', null, amount from items
+""",
+)
+def variant_explode(spark, sf_dir):
+    """Items of a collection and then the fields of each item, without the shape of either being named."""
+    items = docs.explode_variant(customer_documents(spark, sf_dir), "document", "$.figures", "item")
+    fields = docs.explode_variant(items, "item", "$", "field")
+    name, value = F.col("field_key"), docs.variant_value("field", "$")
+    return fields.select(
+        docs.variant_value(F.parse_json("document"), "$.c_custkey", "bigint").alias("c_custkey"),
+        "item_pos",
+        name.alias("field"),
+        F.when(name == "kind", F.upper(value)).alias("kind"),
+        F.when(name == "declared", value.try_cast("double")).alias("amount"),
+    )
+
+
 @query(
     "json_explode_text",
     "select conv_id, turn, role, text from conversations",

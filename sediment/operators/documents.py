@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from sediment.functions.text import _col
 
@@ -37,6 +38,30 @@ def explode_json(
     return df.withColumn(out, F.explode(parsed))
 
 
+def variant_value(c: Column | str, path: str, kind: str = "string") -> Column:
+    """Value at a path of a variant as a type; NULL for a missing path, a JSON null and a value that is not of the type."""
+    return F.try_variant_get(_col(c), path, kind)
+
+
+def explode_variant(df: DataFrame, col: str, path: str, out: str, strict: bool = True) -> DataFrame:
+    """One row per element of the array or field of the object at ``path``, for documents whose shape is not known.
+
+    ``col`` is a text, which is parsed once a row, or a variant. Adds ``out`` (a variant, see :func:`variant_value`), ``<out>_pos`` from 0 (fields
+    of an object in name order) and ``<out>_key``, the name of a field, NULL for elements. No text, no such path, a
+    scalar, and an empty array or object give no row. A text that is not JSON stops the job unless ``strict`` is off;
+    then it gives no row. Columns of these three names are replaced.
+    """
+    names = [out, f"{out}_pos", f"{out}_key"]
+    parse = F.parse_json if strict else F.try_parse_json
+    parsed = F.col(col) if isinstance(df.schema[col].dataType, VariantType) else parse(F.col(col))
+    kept = [F.col(f"`{c}`").alias(f"doc_{i}") for i, c in enumerate(df.columns) if c.lower() not in {n.lower() for n in names}]
+    rows = df.select(*kept, F.try_variant_get(parsed, path, "variant").alias("doc_part"))
+    rows = rows.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("doc_part").outer()))
+    columns = [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
+    own = [F.col(f"doc_{df.columns.index(c)}").alias(c) for c in columns]
+    return rows.select(*own, F.col("value").alias(names[0]), F.col("pos").alias(names[1]), F.col("key").alias(names[2]))
+
+
 def nest_items(kind: str, value: str, columns: Mapping[str, Column | str]) -> Column:
     """Turn columns into an array of ``{kind, value}`` structs (kind -> column), in the given order."""
     return F.array(
