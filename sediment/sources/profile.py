@@ -16,6 +16,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from sediment.sources.provenance import HASH_MODULUS, file_hashes_of_blocks
 
 BLOCK = ["_file", "_block"]
 SLICE = 8192  # lines whose sums fit 64 bits
+GATHERED = 4 * 1024 * 1024  # characters of lines that are put together at a time
 
 
 @dataclass(frozen=True)
@@ -187,54 +189,79 @@ class _Record:
     number: int
     pieces: list[str]
     size: int = 0
-    open: bool = False
+
+    def add(self, piece: str, size: int) -> None:
+        self.pieces.append(piece)
+        self.size += size
+
+
+def _joined(texts: pa.Array, leaves: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The lines from each start up to the next as one text; a line that ends outside quotes loses its carriage return."""
+    if pc.any(pc.ends_with(texts, "\r")).as_py():
+        texts = pc.if_else(pa.array(leaves == 1), texts, pc.replace_substring_regex(texts, "\r\\z", ""))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(texts)], pa.int32()), texts), "\n")
 
 
 def gather(limit: int):
-    """Function for mapInArrow over lines with the row of their block: records, and parts of records that cross a block's bounds."""
+    """Function for mapInArrow over lines with the row of their block: records, and parts of records that cross a block's bounds.
+
+    Lines stay in Arrow and are put together some megabytes at a time, so a worker holds little beside the batch it was
+    given and the one record that is not complete.
+    """
     message = f"a record is longer than {limit} characters: is a quote not closed?"
     schema = pa.schema([("_file", pa.string()), ("_record", pa.int64()), ("_block", pa.int64()), ("_piece", pa.string())])
 
+    def rows(at: tuple[str, int], numbers: Sequence[int], pieces: pa.Array) -> pa.RecordBatch:
+        n = len(pieces)
+        return pa.RecordBatch.from_arrays([pa.repeat(at[0], n), pa.array(numbers, pa.int64()), pa.repeat(at[1], n), pieces], schema=schema)
+
+    def put(at: tuple[str, int], record: _Record, size: int) -> Iterator[pa.RecordBatch]:
+        if record.pieces:
+            if size > limit:
+                raise ValueError(message)
+            yield rows(at, [record.number], pa.array(["\n".join(record.pieces)], pa.string()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple[str, int] | None = None
         state = added = 0
         record = _Record(0, [])
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column("_text").cast(pa.string())
             ends = tuple(batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("_c", "_o"))
-            out: list[tuple[str, int, int, str]] = []
-
-            def put(last: bool) -> None:
-                if record.pieces:
-                    size = record.size + (added if last else 0)
-                    if size > limit:
-                        raise ValueError(message)
-                    out.append((*at, record.number, "\n".join(record.pieces)))
-
-            for file, start, rows in runs(batch):
+            sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            megabytes = np.cumsum(sizes) // GATHERED
+            for file, start, stretch in runs(batch):
                 if at != (file, start):
                     if at is not None:
-                        put(True)
+                        yield from put(at, record, record.size + added)
                     at = (file, start)
-                    state, added = batch.column("_entry")[rows.start].as_py(), batch.column("_added")[rows.start].as_py()
-                    record = _Record(batch.column("_offset")[rows.start].as_py(), [])
-                before, after = states(tuple(e[rows] for e in ends), state)
-                leaves = [*before[1:].tolist(), after]
-                for text, begins_open, ends_open in zip(texts[rows], before.tolist(), leaves, strict=True):
-                    if not begins_open:
-                        put(False)
-                        record = _Record(record.number + 1, [])
-                    record.pieces.append(text if ends_open else text.removesuffix("\r"))
-                    record.size += len(text) + 1
+                    state, added = batch.column("_entry")[stretch.start].as_py(), batch.column("_added")[stretch.start].as_py()
+                    record = _Record(batch.column("_offset")[stretch.start].as_py(), [])
+                cuts = stretch.start + 1 + np.flatnonzero(np.diff(megabytes[stretch]))
+                for begin, end in zip([stretch.start, *cuts.tolist()], [*cuts.tolist(), stretch.stop], strict=True):
+                    before, after = states(tuple(e[begin:end] for e in ends), state)
+                    begins = np.flatnonzero(before == 0)
+                    starts = begins if before[0] == 0 else np.concatenate([[0], begins])
+                    pieces = _joined(texts.slice(begin, end - begin), np.concatenate([before[1:], [after]]), starts)
+                    lengths = np.add.reduceat(sizes[begin:end], starts)
+                    if len(starts) > len(begins):
+                        record.add(pieces[0].as_py(), int(lengths[0]))
+                        pieces, lengths = pieces.slice(1), lengths[1:]
+                    if len(begins):
+                        # all but the last record begun here are complete; the last may go on in the next lines
+                        yield from put(at, record, record.size)
+                        if (lengths[:-1] > limit).any():
+                            raise ValueError(message)
+                        whole = len(begins) - 1
+                        if whole:
+                            yield rows(at, np.arange(record.number + 1, record.number + 1 + whole), pieces.slice(0, whole))
+                        record = _Record(record.number + len(begins), [pieces[whole].as_py()], int(lengths[whole]))
                     if record.size > limit + 2:
                         raise ValueError(message)
-                state = after
-            if out:
-                files, blocks, numbers, pieces = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(files), pa.array(numbers, pa.int64()), pa.array(blocks, pa.int64()), pa.array(pieces)], schema=schema)
+                    state = after
         if at is not None and record.pieces:
             if record.size + added > limit + 2:
                 raise ValueError(message)
-            yield pa.RecordBatch.from_pylist([{"_file": at[0], "_record": record.number, "_block": at[1], "_piece": "\n".join(record.pieces)}], schema)
+            yield rows(at, [record.number], pa.array(["\n".join(record.pieces)], pa.string()))
 
     return run, "_file string, _record bigint, _block bigint, _piece string"

@@ -1,8 +1,10 @@
 import csv
 import io
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -288,3 +290,44 @@ def test_widest_record_over_blocks(spark, tmp_path, blocks):
     for size in (1 << 27, 37):
         blocks(size)
         assert d.profile(spark, str(path)).facts[1:] == (True, 5)
+
+
+def lines_of_one_block(texts, c, o):
+    names = ("_file", "_block", "_text", "_c", "_o", "_entry", "_offset", "_added")
+    n = len(texts)
+    return pa.RecordBatch.from_pydict(dict(zip(names, (["f"] * n, [0] * n, texts, c, o, [0] * n, [0] * n, [0] * n), strict=True)))
+
+
+def test_records_are_put_together_a_few_megabytes_at_a_time():
+    """Python holds no copy of a whole batch of lines, and no batch of records is as large as that of the lines."""
+    batch = lines_of_one_block(["x" * 10_000] * 4000, [False] * 4000, [True] * 4000)
+    run, _ = pr.gather(1 << 26)
+    tracemalloc.start()
+    rows = sizes = 0
+    for out in run(iter([batch])):
+        rows, sizes = rows + out.num_rows, max(sizes, out.nbytes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4000
+    assert peak < 4_000_000 and sizes < 6_000_000  # of 40 million
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_do_not_depend_on_the_lines_put_together_at_a_time(monkeypatch, seed):
+    rng = random.Random(seed)
+    n = 40
+    lines = ["".join(rng.choices(["a", "é", "日", "\r"], k=rng.randrange(6))) for _ in range(n)]
+    c, o = [rng.random() < 0.4 for _ in range(n)], [rng.random() < 0.6 for _ in range(n)]
+    want, is_open = [], False
+    for text, closed, opened in zip(lines, c, o, strict=True):
+        leaves = opened if is_open else closed
+        if not is_open:
+            want.append([])
+        want[-1].append(text if leaves else text.removesuffix("\r"))
+        is_open = leaves
+    for chars in (1, 7, 1 << 20):
+        monkeypatch.setattr(pr, "GATHERED", chars)
+        for size in (1, 9, n):
+            parts = [lines_of_one_block(lines[i : i + size], c[i : i + size], o[i : i + size]) for i in range(0, n, size)]
+            got = [(r["_record"], r["_piece"]) for out in pr.gather(1000)[0](iter(parts)) for r in out.to_pylist()]
+            assert got == [(i, "\n".join(p)) for i, p in enumerate(want, 1)]
