@@ -7,6 +7,7 @@ customer with orders of the other priorities, whose counts become fittings and t
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -468,7 +469,8 @@ def measure_quarantine(spark, sf_dir):
 
 # --- the whole job, from text files to answers -----------------------------------------------------
 
-PARTS = 4  # files of each register snapshot
+PARTS = 4  # files of each register snapshot, at least
+ROWS_PER_PART = 100_000
 SURVEYS_PER_DOCUMENT = 1000
 PREAMBLE = [["Cadastro"], ["Nota"], [], ["ID Prédio", "Nome Oficial", "Tipo de Imóvel", "", "Comarca", "", "", "Cidade", "UF"]]
 SNAPSHOTS = {"2001-07-01": ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"], DAY: None}
@@ -480,11 +482,16 @@ JOB_SQL = BASE_SQL.replace("then 'cheia' end", "then o || ' litros' end").replac
 )
 
 
-def write_parts(rows, path, number):
+def parts_of(spark, sf_dir):
+    """Files of each register snapshot: a file is written by one task, so their number follows the rows."""
+    return max(PARTS, math.ceil(table(spark, sf_dir, "customer").count() / ROWS_PER_PART))
+
+
+def write_parts(rows, path, number, parts=PARTS):
     """Semicolon-separated files, each with four records in front: title, note, blank and header."""
     spark, columns = rows.sparkSession, [c for c in rows.columns if c.startswith("col_")]
-    rows = rows.select(F.pmod(number, F.lit(PARTS)).cast("int").alias("part"), number.cast("bigint").alias("at"), *columns)
-    front = [(k, n - 10, *(cells + [""] * len(columns))[: len(columns)]) for k in range(PARTS) for n, cells in enumerate(PREAMBLE)]
+    rows = rows.select(F.pmod(number, F.lit(parts)).cast("int").alias("part"), number.cast("bigint").alias("at"), *columns)
+    front = [(k, n - 10, *(cells + [""] * len(columns))[: len(columns)]) for k in range(parts) for n, cells in enumerate(PREAMBLE)]
     both = rows.unionByName(spark.createDataFrame(front, rows.schema))
     both.repartition("part").sortWithinPartitions("part", "at").drop("at").write.options(
         sep=";", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue=""
@@ -492,21 +499,22 @@ def write_parts(rows, path, number):
     return path
 
 
-def job_files(spark, sf_dir, clean=True):
+def job_files(spark, sf_dir, clean=True, parts=None):
     """Two register snapshots, measurements and surveys as files below a fresh folder.
 
     ``clean`` leaves out what the gate would stop; otherwise every row of the three sources is written as it is.
     """
     root = scratch(spark, "job-raw")
+    parts = parts or parts_of(spark, sf_dir)
     register = raw_register(spark, sf_dir)
     number = F.col(RECORD_NUMBER).cast("bigint")
     snapshots = []
     for label, segments in SNAPSHOTS.items():
         rows = register if segments is None else register.filter(F.col("col_04").isin(segments))
-        snapshots.append(write_parts(rows, f"{root}/imoveis/{label}", number))
+        snapshots.append(write_parts(rows, f"{root}/imoveis/{label}", number, parts))
     keyed = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("col_01"))
     areas = raw_measures(spark, sf_dir)
-    measured = write_parts(areas.join(keyed, "col_01") if clean else areas, f"{root}/patrimonio", F.col("col_01").cast("bigint"))
+    measured = write_parts(areas.join(keyed, "col_01") if clean else areas, f"{root}/patrimonio", F.col("col_01").cast("bigint"), parts)
     one = F.from_json(F.replace(DOCUMENT, F.lit('"cheia"'), F.lit('"READ"')) if clean else DOCUMENT, "vistorias array<string>").getField("vistorias")
     surveys = raw_surveys(spark, sf_dir).select(F.explode(one).alias("survey"))
     surveys = surveys.withColumn("id_predio", F.get_json_object("survey", "$.id_predio"))
@@ -517,12 +525,13 @@ def job_files(spark, sf_dir, clean=True):
     batch = F.floor(F.col("id_predio").cast("bigint") / SURVEYS_PER_DOCUMENT)
     bodies = surveys.groupBy(batch.alias("batch")).agg(F.array_join(F.sort_array(F.collect_list("survey")), ", ").alias("body"))
     document = F.concat(F.lit('{"vistorias": ['), "body", F.lit("]}"))
-    bodies.select("batch", document.alias("value")).write.partitionBy("batch").text(f"{root}/vistorias")
+    # one document per file, all in one folder: a folder for each would cost the listing a task per document
+    bodies.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{root}/vistorias")
     return root, snapshots, measured, f"{root}/vistorias"
 
 
-def job(spark, sf_dir):
-    root, registers, measured, surveyed = job_files(spark, sf_dir)
+def job(spark, sf_dir, parts=None):
+    root, registers, measured, surveyed = job_files(spark, sf_dir, parts=parts)
     out = scratch(spark, "job")
     return p.run(spark, registers, measured, surveyed, out, DAY, root=root), out
 
@@ -600,7 +609,7 @@ from reg, (values (0), (1)) v(version) where v.version = 1 or segment <> 'AUTOMO
 )
 def compare_register(spark, sf_dir):
     """Both register snapshots, as landed by the whole job, side by side."""
-    _, out = job(spark, sf_dir)
+    _, out = job(spark, sf_dir, PARTS)
     return p.compare_register(SnapshotTable(spark, f"{out}/bronze/imoveis"), [0, 1])
 
 
